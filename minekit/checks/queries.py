@@ -145,7 +145,7 @@ def points_with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = through_text(views.points(spark, sf_dir), writers.vector_line(), "points")
     vectors = readers.read_keyed_vectors(spark, lines).withColumnRenamed("id", "vec_id")
     indexed = cluster.points_with_index(vectors, "vec_id")
-    return indexed.select("id", F.posexplode("v").alias("at", "x")).select("id", "at", places("x", 6))
+    return indexed.select("id", F.posexplode("v").alias("pos", "x")).select("id", "pos", places("x", 6))
 
 
 @query
@@ -174,8 +174,8 @@ def clustering_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_cells(clusters: DataFrame, *names: str) -> DataFrame:
-    cells = clusters.select("cid", *names, F.posexplode("v").alias("at", "x"))
-    return cells.select("cid", *names, "at", places("x", 6))
+    cells = clusters.select("cid", *names, F.posexplode("v").alias("pos", "x"))
+    return cells.select("cid", *names, "pos", places("x", 6))
 
 
 @query
@@ -243,8 +243,19 @@ def shingle_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shingle_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smallest, largest and summed value of each hash over the whole vocabulary."""
     hashes = minhash.shingle_hashes(SEARCH.shingle_ids(views.docs(spark, sf_dir)), SEARCH.family)
-    return hashes.select("shingle_id", F.array_join(F.array(*SEARCH.family.names()), ":").alias("hashes"))
+    summary = hashes.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(i).alias("i"), F.min(h).alias("smallest"), F.max(h).alias("largest"), F.sum(h).alias("total")
+                )
+                for i, h in enumerate(SEARCH.family.names())
+            ]
+        ).alias("rows")
+    )
+    return summary.select(F.explode("rows").alias("r")).select("r.*")
 
 
 @query
@@ -338,7 +349,7 @@ def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_hot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.labeled(spark, sf_dir)
     one_hot = features.one_hot_features(rows, features.category_index(rows))
-    return one_hot.select("row_id", F.posexplode("one_hot").alias("at", "x"))
+    return one_hot.select("row_id", F.posexplode("one_hot").alias("pos", "x"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,7 +359,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors(spark, sf_dir).select("row_id", "label", F.posexplode("features").alias("at", "x"))
+    return vectors(spark, sf_dir).select("row_id", "label", F.posexplode("features").alias("pos", "x"))
 
 
 @query

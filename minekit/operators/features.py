@@ -31,9 +31,9 @@ def category_index(rows: DataFrame) -> DataFrame:
 
 def one_hot_features(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Add ``one_hot``: an array with 1.0 at the position of the category and 0.0 elsewhere."""
-    last = index.agg(F.max("position")).scalar()
-    placed = lookup_join(rows, index, "category", "row_id")
-    one_hot = F.transform(F.sequence(F.lit(0), last), lambda at: F.when(at == F.col("position"), 1.0).otherwise(0.0))
+    sized = index.withColumn("last", index.agg(F.max("position")).scalar())
+    placed = lookup_join(rows, sized, "category", "row_id")
+    one_hot = F.transform(F.sequence(F.lit(0), F.col("last")), lambda at: F.when(at == F.col("position"), 1.0).otherwise(0.0))
     return placed.select(*rows.columns, one_hot.alias("one_hot"))
 
 
