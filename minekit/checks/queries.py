@@ -245,17 +245,10 @@ def shingle_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shingle_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Smallest, largest and summed value of each hash over the whole vocabulary."""
     hashes = minhash.shingle_hashes(SEARCH.shingle_ids(views.docs(spark, sf_dir)), SEARCH.family)
-    summary = hashes.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"), F.min(h).alias("smallest"), F.max(h).alias("largest"), F.sum(h).alias("total")
-                )
-                for i, h in enumerate(SEARCH.family.names())
-            ]
-        ).alias("rows")
+    cells = hashes.select(F.posexplode(F.array(*SEARCH.family.names())).alias("i", "h"))
+    return cells.groupBy("i").agg(
+        F.min("h").alias("smallest"), F.max("h").alias("largest"), F.sum("h").alias("total")
     )
-    return summary.select(F.explode("rows").alias("r")).select("r.*")
 
 
 @query

@@ -18,9 +18,12 @@ MAX_HOT = 100_000
 BLOCK_COST = 1 << 22
 
 
-def row_counts(df: DataFrame, on: list[str], name: str) -> DataFrame:
-    """Rows per key hash; a partial aggregate keeps the shuffle to one row per key and task."""
-    return df.groupBy(F.xxhash64(*on).alias("_key")).agg(F.count(F.lit(1)).alias(name))
+def row_counts(df: DataFrame, on: list[str], name: str, rows: str = "1") -> DataFrame:
+    """Rows per key hash, each row of ``df`` standing for ``rows`` of them.
+
+    A partial aggregate keeps the shuffle to one row per key and task.
+    """
+    return df.groupBy(F.xxhash64(*on).alias("_key")).agg(F.sum(F.expr(rows).cast("bigint")).alias(name))
 
 
 def hot_keys(counts: DataFrame, block_cost: int = BLOCK_COST) -> DataFrame:
@@ -58,17 +61,19 @@ def balanced_join(
     right_spread: list[str] | None = None,
     block_cost: int = BLOCK_COST,
     left_counts: DataFrame | None = None,
+    right_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on ``on``; give no ``right_spread`` when the right side has one row per key.
 
-    Both inputs are read twice, once for the counts; settle them first when they are costly, or
-    give ``row_counts`` of a cheaper table with the same keys as ``left_counts``.
+    Both inputs are read twice, once for the counts. When they are costly, settle them first or
+    give the ``row_counts`` of a cheaper table with the same keys and no fewer rows.
     """
     counts = row_counts(left, on, "_left") if left_counts is None else left_counts
     if right_spread is None:
         counts = counts.withColumn("_right", F.lit(1))
     else:
-        counts = counts.join(row_counts(right, on, "_right"), "_key", "full_outer").select(
+        other = row_counts(right, on, "_right") if right_counts is None else right_counts
+        counts = counts.join(other, "_key", "full_outer").select(
             "_key",
             F.coalesce("_left", F.lit(0)).alias("_left"),
             F.coalesce("_right", F.lit(0)).alias("_right"),

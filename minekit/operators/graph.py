@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minekit.functions.skew import BLOCK_COST, MAX_HOT, balanced_join
+from minekit.functions.skew import BLOCK_COST, MAX_HOT, balanced_join, row_counts
 
 
 def graph_nodes(edges: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def out_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def transition_matrix(edges: DataFrame, block_cost: int = BLOCK_COST) -> DataFrame:
     """``src, dst, weight`` with weight ``1 / out-degree``; parallel edges stay separate rows."""
     degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
-    return balanced_join(edges, degrees, ["src"], ["dst"], block_cost=block_cost).select(
+    counts = row_counts(degrees, ["src"], "_left", "degree")
+    return balanced_join(edges, degrees, ["src"], ["dst"], block_cost=block_cost, left_counts=counts).select(
         "src", "dst", (1 / F.col("degree")).alias("weight")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minekit.functions.skew import BLOCK_COST, balanced_join
+from minekit.functions.skew import BLOCK_COST, balanced_join, row_counts
 
 
 def select_matrix(entries: DataFrame, name: str) -> DataFrame:
@@ -24,7 +24,16 @@ def matrix_product(m: DataFrame, n: DataFrame, block_cost: int = BLOCK_COST) ->
     rows = m.groupBy("i", "j").agg(F.sum("v").alias("m_v"))
     columns = n.select(F.col("i").alias("j"), F.col("j").alias("k"), "v")
     columns = columns.groupBy("j", "k").agg(F.sum("v").alias("n_v"))
-    products = balanced_join(rows, columns, ["j"], ["i"], ["k"], block_cost)
+    products = balanced_join(
+        rows,
+        columns,
+        ["j"],
+        ["i"],
+        ["k"],
+        block_cost,
+        left_counts=row_counts(m, ["j"], "_left"),
+        right_counts=row_counts(n, ["i"], "_right"),
+    )
     return products.groupBy("i", "k").agg(F.sum(F.col("m_v") * F.col("n_v")).alias("v"))
 
 

@@ -30,7 +30,8 @@ def signature_groups(signatures: DataFrame) -> DataFrame:
 def group_members(signatures: DataFrame, groups: DataFrame, block_cost: int = BLOCK_COST) -> DataFrame:
     """``doc_id, group_doc``: the group of every document."""
     named = groups.select("sig", F.col("doc_id").alias("group_doc"))
-    joined = balanced_join(signatures, named, ["sig"], ["doc_id"], block_cost=block_cost)
+    counts = row_counts(groups, ["sig"], "_left", "n_docs")
+    joined = balanced_join(signatures, named, ["sig"], ["doc_id"], block_cost=block_cost, left_counts=counts)
     return joined.select("doc_id", "group_doc")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minekit.functions.columns import majority
-from minekit.functions.storage import settle
+from minekit.functions.storage import settle, spread
 from minekit.operators.features import lookup_join
 from minekit.operators.splits import (
     best_split,
@@ -53,7 +53,8 @@ class DecisionTree:
         """
         if not 0 <= self.max_depth <= 61:
             raise ValueError("max_depth must be between 0 and 61")
-        routed = settle(rows.select(F.lit(1).cast("bigint").alias("node_id"), "row_id", "features", "label"), "rows")
+        kept = settle(spread(rows.select("row_id", "features", "label")), "rows")
+        routed = kept.withColumn("node_id", F.lit(1).cast("bigint"))
         level = settle(node_entropy(routed).select("node_id", "n", "n_pos"), "nodes")
         parts = []
         for depth in range(self.max_depth + 1):

@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from minekit.functions.storage import settle
+from minekit.functions.storage import settle, spread
 from minekit.operators.cluster import PACKED_NUMBERS, assignments, centroid_update, packs_needed
 
 
@@ -31,27 +32,31 @@ class KMeans:
     def fit(self, points: DataFrame, start: DataFrame) -> KMeansFit:
         """Iterate from ``start``.
 
-        One job per iteration: points are assigned and folded into one row per cluster in a single
-        pass. Row ``t`` of the history holds the cost before update ``t``; ``k`` counts the clusters
-        with members.
+        The points are kept on the executors, in memory and then on disk. One job per iteration:
+        points are assigned and folded into one row per cluster in a single pass. Row ``t`` of the
+        history holds the cost before update ``t``; ``k`` counts the clusters with members.
         """
         centroids = settle(start.select("cid", "v"), "centroids")
         n_packs = packs_needed(centroids, self.packed_numbers)
         dimension = centroids.select(F.max(F.size("v"))).first()[0]
+        points = spread(points.select("id", "v")).persist(StorageLevel.MEMORY_AND_DISK)
         costs = []
         for iteration in range(self.iterations):
             near = assignments(points, centroids, n_packs)
             clusters = settle(centroid_update(near, self.metric, dimension), "clusters")
-            costs.append(
-                clusters.agg(
-                    F.lit(iteration).alias("iteration"),
-                    F.count(F.lit(1)).alias("k"),
-                    F.sum("cost_l1").alias("cost_l1"),
-                    F.sum("cost_l2sq").alias("cost_l2sq"),
-                )
-            )
+            costs.append(clusters.select(F.lit(iteration).alias("iteration"), "cost_l1", "cost_l2sq"))
             centroids = clusters.select("cid", "v")
-        return KMeansFit(centroids, reduce(DataFrame.unionByName, costs))
+        points.unpersist()
+        history = (
+            reduce(DataFrame.unionByName, costs)
+            .groupBy("iteration")
+            .agg(
+                F.count(F.lit(1)).alias("k"),
+                F.sum("cost_l1").alias("cost_l1"),
+                F.sum("cost_l2sq").alias("cost_l2sq"),
+            )
+        )
+        return KMeansFit(centroids, history)
 
 
 def cost_changes(history: DataFrame, run: str = "run") -> DataFrame:
