@@ -30,6 +30,11 @@ def places(column: str, digits: int) -> Column:
     return (F.round(column, digits) + 0.0).alias(column)
 
 
+def or_none(column: str) -> Column:
+    """An integer column with -1 where it is absent."""
+    return F.coalesce(column, F.lit(-1)).alias(column)
+
+
 def through_text(df: DataFrame, line: Column, label: str) -> str:
     """Write lines to a fresh folder and return it."""
     path = fresh_path(df.sparkSession, label)
@@ -99,7 +104,7 @@ def dangling_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = views.edges(spark, sf_dir)
     nodes = graph.graph_nodes(edges)
     filled = graph.dangling_fill(graph.transition_matrix(edges), graph.dangling_nodes(nodes, edges), nodes.count())
-    return filled.select("src", "dst", places("weight", 9))
+    return filled.select("src", or_none("dst"), places("weight", 9))
 
 
 def ranks_after(spark: SparkSession, sf_dir: str, steps: int) -> DataFrame:
@@ -413,7 +418,16 @@ def grown(rows: DataFrame) -> DataFrame:
 def decision_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = grown(vectors(spark, sf_dir))
     return nodes.select(
-        "node_id", "depth", "feature", "split", places("gain", 9), "left", "right", "n", "n_pos", "prediction"
+        "node_id",
+        "depth",
+        or_none("feature"),
+        "split",
+        places("gain", 9),
+        or_none("left"),
+        or_none("right"),
+        "n",
+        "n_pos",
+        "prediction",
     )
 
 

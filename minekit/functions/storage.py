@@ -13,10 +13,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SMALL_INPUT = 256 << 20
+
 
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables; only a local session may fall back to its own."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared
     if not spark.sparkContext.master.startswith("local"):
@@ -38,10 +40,11 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out rows when a scan yields fewer partitions than there are cores.
+    """Deal out the rows of a small input over all cores.
 
-    For work that is heavy per row (tokenising, hashing) over a few small files. A scan of many
-    files has more partitions than cores and passes through without a shuffle.
+    For work that is heavy per row (tokenising, measuring): a small input may sit in a single row
+    group, and so in a single task. By the size test the shuffle is cheap; anything larger passes
+    through untouched.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < SMALL_INPUT else df

@@ -24,6 +24,8 @@ from minekit.functions.skew import balanced_join
 
 PACKED_NUMBERS = 1 << 20
 WIDE_DIMENSION = 256
+# an Arrow batch holds 10,000 vectors, so at most 80 MB
+BATCH_DIMENSION = 1024
 
 
 def points_with_index(vectors: DataFrame, key: str) -> DataFrame:
@@ -70,9 +72,8 @@ def pairwise_distance(points: DataFrame, centroids: DataFrame, n_packs: int | No
     return near.select("id", F.explode("near").alias("d")).select("id", "d.cid", "d.l1", "d.l2sq")
 
 
-def _nearest_of(centroids: DataFrame) -> Callable[[str], Column]:
-    """The nearest centroid of a vector under both metrics, over batches; for one pack only."""
-    kept = sorted((row.cid, row.v) for row in centroids.select("cid", "v").collect())
+def _nearest_of(kept: list[tuple[int, list[float]]]) -> Callable[[str], Column]:
+    """The nearest of a few centroids under both metrics, over batches of vectors."""
     cids = np.array([cid for cid, _ in kept])
 
     @F.pandas_udf("cid_l1 bigint, l1 double, cid_l2 bigint, l2sq double")
@@ -100,7 +101,9 @@ def assignments(points: DataFrame, centroids: DataFrame, n_packs: int | None = N
     """
     n_packs = n_packs or packs_needed(centroids)
     if n_packs == 1:
-        return points.select("id", "v", _nearest_of(centroids)("v").alias("near")).select("id", "v", "near.*")
+        kept = sorted((row.cid, row.v) for row in centroids.select("cid", "v").collect())
+        if max(len(v) for _, v in kept) <= BATCH_DIMENSION:
+            return points.select("id", "v", _nearest_of(kept)("v").alias("near")).select("id", "v", "near.*")
     near = measured(points, centroids, n_packs)
 
     def best(cost: str, cid: str) -> list[Column]:
@@ -114,8 +117,11 @@ def assignments(points: DataFrame, centroids: DataFrame, n_packs: int | None = N
             for cost in ("l1", "l2sq")
         ],
     )
-    overall = local.groupBy("id").agg(F.any_value("v").alias("v"), F.min("l1").alias("l1"), F.min("l2sq").alias("l2sq"))
-    return overall.select("id", "v", *best("l1", "cid_l1"), *best("l2sq", "cid_l2"))
+    if n_packs > 1:
+        local = local.groupBy("id").agg(
+            F.any_value("v").alias("v"), F.min("l1").alias("l1"), F.min("l2sq").alias("l2sq")
+        )
+    return local.select("id", "v", *best("l1", "cid_l1"), *best("l2sq", "cid_l2"))
 
 
 def nearest_centroid(assigned: DataFrame, metric: str) -> DataFrame:

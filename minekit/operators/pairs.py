@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from minekit.functions.columns import equal_positions
 from minekit.functions.skew import BLOCK_COST, balanced_join, balanced_pairs, row_counts
+from minekit.functions.storage import settle
 from minekit.operators.minhash import lsh_rows
 
 
@@ -83,7 +84,9 @@ def top_pairs(similarities: DataFrame, signatures: DataFrame, k: int = 10) -> Da
     since a pair with a later document has at least ``k`` better ones. The window keeps that many
     rows per group in every task before its shuffle.
     """
-    best = similarities.orderBy(F.desc("similarity"), "a", "b").limit(k + 1).select("a", "b", "similarity")
+    best = settle(
+        similarities.orderBy(F.desc("similarity"), "a", "b").limit(k + 1).select("a", "b", "similarity"), "best"
+    )
     # at most 2 * (k + 1) groups from here on
     named = F.broadcast(best.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     chosen = signatures.join(named, "doc_id", "left_semi").select(F.col("doc_id").alias("group_doc"), "sig")

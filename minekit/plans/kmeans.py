@@ -41,12 +41,14 @@ class KMeans:
         dimension = centroids.select(F.max(F.size("v"))).first()[0]
         points = spread(points.select("id", "v")).persist(StorageLevel.MEMORY_AND_DISK)
         costs = []
-        for iteration in range(self.iterations):
-            near = assignments(points, centroids, n_packs)
-            clusters = settle(centroid_update(near, self.metric, dimension), "clusters")
-            costs.append(clusters.select(F.lit(iteration).alias("iteration"), "cost_l1", "cost_l2sq"))
-            centroids = clusters.select("cid", "v")
-        points.unpersist()
+        try:
+            for iteration in range(self.iterations):
+                near = assignments(points, centroids, n_packs)
+                clusters = settle(centroid_update(near, self.metric, dimension), "clusters")
+                costs.append(clusters.select(F.lit(iteration).alias("iteration"), "cost_l1", "cost_l2sq"))
+                centroids = clusters.select("cid", "v")
+        finally:
+            points.unpersist()
         history = (
             reduce(DataFrame.unionByName, costs)
             .groupBy("iteration")

@@ -42,11 +42,13 @@ class PageRank:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         links = links.repartition(partitions, "src", "block").persist(StorageLevel.MEMORY_AND_DISK)
         state = settle(start_state(nodes, sources, n_nodes, ranks), "ranks")
-        for step in range(1, steps + 1):
-            state = settle(pagerank_step(state, links, n_nodes, self.beta), "ranks")
-            if on_step is not None:
-                on_step(step, state.select("node", "rank"))
-        links.unpersist()
+        try:
+            for step in range(1, steps + 1):
+                state = settle(pagerank_step(state, links, n_nodes, self.beta), "ranks")
+                if on_step is not None:
+                    on_step(step, state.select("node", "rank"))
+        finally:
+            links.unpersist()
         return state.select("node", "rank")
 
 

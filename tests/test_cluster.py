@@ -37,6 +37,12 @@ def test_packs_give_the_same_result(cloud, n_packs):
     assert key(pairwise_distance(*cloud, n_packs=n_packs)) == key(pairwise_distance(*cloud))
 
 
+def test_long_vectors_give_the_same_result(cloud, monkeypatch):
+    wanted = sorted(tuple(r) for r in assignments(*cloud).drop("v").collect())
+    monkeypatch.setattr("minekit.operators.cluster.BATCH_DIMENSION", 1)
+    assert sorted(tuple(r) for r in assignments(*cloud).drop("v").collect()) == wanted
+
+
 def test_long_and_wide_update_agree(cloud, monkeypatch):
     near = assignments(*cloud)
     wide = {r.cid: r for r in centroid_update(near, "l2", 3).collect()}
