@@ -258,7 +258,7 @@ def shingle_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signatures = SEARCH.signatures(views.docs(spark, sf_dir))
+    signatures = minhash.minhash_signatures(SEARCH.shingle_ids(views.docs(spark, sf_dir)), SEARCH.family)
     return signatures.select("doc_id", F.array_join("sig", ":").alias("sig"))
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +60,29 @@ def minhash_signatures(ids: DataFrame, family: MinHash) -> DataFrame:
     return reduced.groupBy("doc_id").agg(*minima).select("doc_id", F.array(*family.names()).alias("sig"))
 
 
+def list_signatures(lists: DataFrame, family: MinHash) -> DataFrame:
+    """``doc_id, sig`` of ``doc_id, ids`` with all shingle ids of a document in one row.
+
+    The same signatures as ``minhash_signatures`` without any shuffle, over Arrow batches. Documents
+    without ids are dropped inside the batch: a filter behind it would be pushed down and repeat the
+    whole text expression.
+    """
+    parameters, prime, modulus = family.parameters(), family.prime, family.modulus
+
+    def signature(ids: np.ndarray) -> np.ndarray:
+        x = np.mod(ids, prime)
+        hashed = ((x * a + b) % prime for a, b in parameters)
+        return np.array([(h if modulus is None else h % modulus).min() for h in hashed])
+
+    def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch[batch["ids"].map(lambda ids: ids is not None and len(ids) > 0)]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "sig": batch["ids"].map(signature)})
+
+    key = lists.schema["doc_id"].dataType.simpleString()
+    return lists.select("doc_id", "ids").mapInPandas(signed, f"doc_id {key}, sig array<bigint>")
+
+
 def lsh_rows(signatures: DataFrame, bands: int, rows: int) -> DataFrame:
     """``doc_id, band, bucket``: one row per document and band, bands counted from 1.
 

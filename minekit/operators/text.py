@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,19 +26,32 @@ def doc_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", words_of("text").alias("tokens"))
 
 
+def _grams(k: int, of: Callable[[Column], Column]) -> Column:
+    """One value per run of ``k`` words of ``tokens``, null for a document with fewer words.
+
+    Words hold no blanks, so the text form (words joined by blanks) tells different runs apart.
+    """
+    starts = F.sequence(F.lit(1), F.size("tokens") - (k - 1))
+    grams = F.transform(starts, lambda at: of(F.array_join(F.slice("tokens", at, k), " ")))
+    return F.when(F.size("tokens") >= k, grams)
+
+
 def doc_shingles(tokens: DataFrame, k: int = 3) -> DataFrame:
     """``doc_id, shingle``: the distinct runs of ``k`` words of each document, words joined by blanks.
 
-    Documents with fewer than ``k`` words have no rows. Words hold no blanks, so the text form tells
-    different runs apart. Everything happens inside the row, without a shuffle. The outer form of
-    explode keeps the optimizer from evaluating the whole expression a second time as a filter.
+    Documents with fewer than ``k`` words have no rows. Everything happens inside the row, without a
+    shuffle. The outer form of explode keeps the optimizer from evaluating the whole expression a
+    second time as a filter.
     """
-    starts = F.sequence(F.lit(1), F.size("tokens") - (k - 1))
-    grams = F.transform(starts, lambda at: F.array_join(F.slice("tokens", at, k), " "))
-    distinct = F.when(F.size("tokens") >= k, F.array_distinct(grams))
+    distinct = F.array_distinct(_grams(k, lambda gram: gram))
     return tokens.select("doc_id", F.explode_outer(distinct).alias("shingle")).where("shingle is not null")
 
 
+def shingle_id_lists(tokens: DataFrame, k: int = 3, method: str = "xxhash64") -> DataFrame:
+    """``doc_id, ids``: the ids of all runs of ``k`` words as one array, repeats included."""
+    return tokens.select("doc_id", _grams(k, lambda gram: gram_hash(gram, method)).alias("ids"))
+
+
 def shingle_ids(shingles: DataFrame, method: str = "xxhash64") -> DataFrame:
     """``doc_id, shingle_id``."""
     return shingles.select("doc_id", gram_hash(F.col("shingle"), method).alias("shingle_id"))

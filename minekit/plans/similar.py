@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 
 from minekit.functions.skew import BLOCK_COST
 from minekit.functions.storage import settle, spread
-from minekit.operators.minhash import MinHash, minhash_signatures
+from minekit.operators.minhash import MinHash, list_signatures
 from minekit.operators.pairs import candidate_pairs, pair_similarity, signature_groups, top_pairs
-from minekit.operators.text import doc_shingles, doc_tokens, shingle_ids
+from minekit.operators.text import doc_shingles, doc_tokens, shingle_id_lists, shingle_ids
 
 
 @dataclass(frozen=True)
@@ -28,13 +28,17 @@ class SimilarDocuments:
         if self.bands * self.rows > self.family.n_hashes:
             raise ValueError("bands * rows exceeds the number of hashes")
 
+    def tokens(self, docs: DataFrame) -> DataFrame:
+        """Words of ``doc_id, text``."""
+        return doc_tokens(spread(docs.select("doc_id", "text")))
+
     def shingle_ids(self, docs: DataFrame) -> DataFrame:
-        """Shingle ids of ``doc_id, text``."""
-        tokens = doc_tokens(spread(docs.select("doc_id", "text")))
-        return shingle_ids(doc_shingles(tokens, self.k), self.id_method)
+        """Distinct shingle ids as rows."""
+        return shingle_ids(doc_shingles(self.tokens(docs), self.k), self.id_method)
 
     def signatures(self, docs: DataFrame) -> DataFrame:
-        return minhash_signatures(self.shingle_ids(docs), self.family)
+        """Signatures of whole documents, computed where the documents are read."""
+        return list_signatures(shingle_id_lists(self.tokens(docs), self.k, self.id_method), self.family)
 
     def groups(self, signatures: DataFrame) -> DataFrame:
         """Stored groups of equal signatures; they are read several times."""

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from minekit.functions.storage import settle
-from minekit.operators.minhash import MinHash, lsh_buckets, lsh_rows
+from minekit.operators.minhash import MinHash, lsh_buckets, lsh_rows, minhash_signatures
 from minekit.operators.pairs import group_members, top_pairs
 from minekit.operators.text import doc_shingles, doc_tokens
 from minekit.plans.similar import SimilarDocuments
@@ -75,6 +75,15 @@ def test_too_many_bands_are_refused():
         SimilarDocuments(family=MinHash(10), bands=6, rows=2)
 
 
+@pytest.mark.parametrize("family", [MinHash(7), MinHash(7, seed=2, prime=554_747, modulus=12_901)])
+def test_both_ways_to_signatures_agree(docs, family):
+    search = SimilarDocuments(family=family, bands=3)
+    by_rows = minhash_signatures(search.shingle_ids(docs), family)
+    by_lists = search.signatures(docs)
+    assert by_rows.count() == by_lists.count() == 43
+    assert by_rows.exceptAll(by_lists).isEmpty()
+
+
 def test_signatures_estimate_jaccard(docs):
     sets = shingle_sets()
     rows = SEARCH.similarities(SEARCH.groups(SEARCH.signatures(docs))).collect()
