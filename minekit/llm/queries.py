@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from minekit.checks.views import table
+from minekit.llm.neardup import NearDuplicates
 from minekit.llm.packing import Packing
 from minekit.llm.records import token_records
 
@@ -17,12 +18,17 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 80 % of their 2-word shingles."""
+    return NearDuplicates(shingle=2, percent=80).components(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 2048."""
     return Packing(public_tokenizers.path("word_bpe_49k.json"), end_id=1, size=2048).run(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_records, op9_packing)
+    f.__name__: f for f in (op3_token_records, op6_minhash_near_dedup, op9_packing)
 }
 ORACLES: dict[str, str] = {}
