@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from minekit.checks.views import table
+from minekit.llm.decontamination import Decontamination
 from minekit.llm.neardup import NearDuplicates
 from minekit.llm.packing import Packing
 from minekit.llm.records import token_records
@@ -18,6 +19,11 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and benchmark items within a fifth of the item's words."""
+    return Decontamination().matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 80 % of their 2-word shingles."""
     return NearDuplicates(shingle=2, percent=80).components(table(spark, sf_dir, "documents"))
@@ -29,6 +35,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_records, op6_minhash_near_dedup, op9_packing)
+    f.__name__: f for f in (op3_token_records, op5_decontamination, op6_minhash_near_dedup, op9_packing)
 }
 ORACLES: dict[str, str] = {}
