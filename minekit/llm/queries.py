@@ -12,6 +12,14 @@ from minekit.llm.decontamination import Decontamination
 from minekit.llm.neardup import NearDuplicates
 from minekit.llm.packing import Packing
 from minekit.llm.records import token_records
+from minekit.llm.toxicity import Toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    operator = Toxicity()
+    return operator.score(docs, operator.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +43,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_records, op5_decontamination, op6_minhash_near_dedup, op9_packing)
+    f.__name__: f for f in (op1_toxicity, op3_token_records, op5_decontamination, op6_minhash_near_dedup, op9_packing)
 }
 ORACLES: dict[str, str] = {}
