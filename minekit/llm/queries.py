@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from minekit.checks.views import table
 from minekit.llm.decontamination import Decontamination
+from minekit.llm.language import LanguageEvidence, page_evidence
 from minekit.llm.neardup import NearDuplicates
+from minekit.llm.neighbours import LearnedPartitions
 from minekit.llm.packing import Packing
 from minekit.llm.records import token_records
 from minekit.llm.toxicity import Toxicity
@@ -22,6 +25,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operator.score(docs, operator.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return LearnedPartitions(k=20).search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all documents, read back from the record files."""
     return token_records(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -37,12 +45,22 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(shingle=2, percent=80).components(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents from their text and, where a page shows them, its markup, address and host."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint"), "text", "lang")
+    operator = LanguageEvidence()
+    model = operator.fit(docs.select("text", F.col("lang").alias("declared")))
+    pages = page_evidence(table(spark, sf_dir, "pages"))
+    known = docs.join(pages, "doc_id", "left").withColumn("declared", F.coalesce("declared", "lang"))
+    return operator.judge(known, model).drop("mark")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 2048."""
     return Packing(public_tokenizers.path("word_bpe_49k.json"), end_id=1, size=2048).run(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_token_records, op5_decontamination, op6_minhash_near_dedup, op9_packing)
+    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op5_decontamination, op6_minhash_near_dedup, op8_language_id, op9_packing)
 }
 ORACLES: dict[str, str] = {}
