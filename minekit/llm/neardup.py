@@ -7,8 +7,9 @@ A document is the set of its distinct word shingles. The steps:
    documents share cancel in the XOR of their sketches, so its population count tells how many
    samples differ, and most precisely so for high similarities.
 2. Documents with equal sets are one class; its smallest id stands for it.
-3. In every bucket of a band each class is paired with the smallest class only. Pairs whose sketches
-   differ too much are dropped, the others are confirmed on the full sets.
+3. Each class is paired with the smallest class that it shares a bucket with, then, where that leaves it
+   unconnected, with the smallest class of every bucket. Pairs whose sketches differ too much are dropped, the
+   others are confirmed on the full sets.
 4. Classes of one bucket that are not yet connected after that are paired with each other, so that no link
    between different texts is lost that the bands show; links inside a component add nothing.
 5. The components of all confirmed links are found by passing on minima with path shortening.
@@ -39,6 +40,7 @@ from minekit.llm.batches import SPACES, Words, map_batches, mixed, text_slices
 SKETCH_WORDS = 8
 _SHINGLE = np.uint64(0xD1342543DE82EF95)
 _CHUNK = 1 << 15
+BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -103,7 +105,7 @@ class NearDuplicates:
         named = classes.select(F.col("rep").alias("doc_id"), "k1", "k2", F.col("rep"))
         own = signed.join(named, ["doc_id", "k1", "k2"])
         reps = settle(own.dropDuplicates(["rep", *keys]).select("rep", *keys, "bands", "sketch"), "classes")
-        linked = self._links(docs, signed, reps)
+        linked = self._links(docs, reps)
         labels = connected(linked)
 
         named = reps.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("rep").alias("_rep"))
@@ -117,50 +119,68 @@ class NearDuplicates:
             "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
         )
 
-    def _links(self, docs: DataFrame, signed: DataFrame, reps: DataFrame) -> DataFrame:
+    def _links(self, docs: DataFrame, reps: DataFrame) -> DataFrame:
         """``a, b`` for confirmed links that connect the classes."""
         filed = reps.select("rep", F.posexplode("bands").alias("band", "hash")).select(
             "rep", F.xxhash64("band", "hash").alias("bucket")
         )
         full = filed.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
         members = settle(filed.join(full.select("bucket", "hub"), "bucket"), "buckets")
-        star = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-        near = settle(self._close(star, reps), "near")
-        sure = settle(self._confirm(near, docs, signed), "links")
 
-        # members of a bucket that the stars left apart
-        labels = connected(sure)
-        node = labels.select(F.col("node").alias("rep"), "label")
+        # each class with the smallest class that it meets anywhere
+        first = members.groupBy(F.col("rep").alias("b")).agg(F.min("hub").alias("a")).where("a < b")
+        near = settle(self._close(first.select("a", "b"), reps), "near")
+        sure = settle(self._confirm(near, docs), "links")
+
+        # with the smallest of every bucket, where that is not connected yet
+        star = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+        open_star = _across(star, connected(sure)).distinct().join(near.select("a", "b"), ["a", "b"], "left_anti")
+        more = settle(self._close(open_star, reps), "near")
+        sure = settle(sure.unionByName(self._confirm(more, docs)), "links")
+
+        # members of a bucket that are still apart
+        node = connected(sure).select(F.col("node").alias("rep"), "label")
         parts = members.join(node, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("part"))
         sizes = parts.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
         apart = sizes.groupBy("bucket").agg(F.max_by("part", "n").alias("major"), F.count(F.lit(1)).alias("n"))
-        open_ = settle(parts.join(apart.where("n > 1").select("bucket", "major"), "bucket"), "apart")
+        apart = parts.join(apart.where("n > 1").select("bucket", "major"), "bucket")
+        rest = settle(apart.join(reps.select("rep", "n_shingles", "sketch"), "rep"), "apart")
         # the largest part of a bucket meets the others only, never itself
-        minor = open_.where("part <> major").select("bucket", F.col("rep").alias("x"), F.col("part").alias("_px"))
-        every = open_.select("bucket", F.col("rep").alias("y"), F.col("part").alias("_py"))
-        across = (
-            balanced_join(minor, every, ["bucket"], ["x"], ["y"])
-            .where("_px <> _py")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        minor = rest.where("part <> major").select("bucket", *_side("a"))
+        every = rest.select("bucket", *_side("b"))
+        close = (
+            balanced_join(minor, every, ["bucket"], ["a"], ["b"])
+            .where("part_a <> part_b")
+            .where(self._allowed())
+            .select(
+                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+                F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"),
+            )
             .distinct()
         )
-        untested = across.join(near.select("a", "b"), ["a", "b"], "left_anti")
-        rest = settle(self._confirm(settle(self._close(untested, reps), "rest"), docs, signed), "links")
-        return sure.unionByName(rest)
+        tested = near.select("a", "b").union(more.select("a", "b"))
+        last = settle(close.join(tested, ["a", "b"], "left_anti"), "near")
+        return settle(sure.unionByName(self._confirm(last, docs)), "links")
 
-    def _close(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
-        """The pairs whose odd sketches and sizes allow the similarity; with their sizes."""
-        side = reps.select("rep", "sketch", "n_shingles")
-        both = pairs.join(side.toDF("a", "_sa", "n_a"), "a").join(side.toDF("b", "_sb", "n_b"), "b")
+    def _allowed(self) -> Column:
+        """Whether odd sketches and sizes allow the similarity."""
         flips = sum(
-            (F.bit_count(F.col("_sa")[i].bitwiseXOR(F.col("_sb")[i])) for i in range(SKETCH_WORDS)), F.lit(0)
+            (F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_WORDS)), F.lit(0)
         )
-        sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
-        return both.where((flips <= self.max_flips) & sizes).select("a", "b", "n_a", "n_b")
+        return (flips <= self.max_flips) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
 
-    def _confirm(self, near: DataFrame, docs: DataFrame, signed: DataFrame) -> DataFrame:
-        """The pairs whose full sets are similar enough."""
+    def _close(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
+        """The pairs whose sketches and sizes allow the similarity; with their sizes."""
+        side = reps.select("rep", "sketch", "n_shingles")
+        both = pairs.join(side.toDF("a", "sketch_a", "n_a"), "a").join(side.toDF("b", "sketch_b", "n_b"), "b")
+        return both.where(self._allowed()).select("a", "b", "n_a", "n_b")
+
+    def _confirm(self, near: DataFrame, docs: DataFrame) -> DataFrame:
+        """The pairs of the stored ``near`` whose full sets are similar enough."""
         wanted = near.select(F.col("a").alias("rep")).union(near.select("b")).distinct()
+        if near.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)  # two numbers a row
         texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").where("text is not null")
         sets = settle(self.sets(texts.join(wanted, "rep", "left_semi")).dropDuplicates(["rep", "shingles"]), "sets")
         left = sets.toDF("a", "_xa")
@@ -170,6 +190,19 @@ class NearDuplicates:
         return both.where(enough).select("a", "b").distinct()
 
 
+def _side(name: str) -> list[Column]:
+    return [
+        F.col("rep").alias(name), F.col("part").alias(f"part_{name}"), F.col("n_shingles").alias(f"n_{name}"),
+        F.col("sketch").alias(f"sketch_{name}"),
+    ]
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose ends are in different components."""
+    named = pairs.join(labels.toDF("a", "_la"), "a", "left").join(labels.toDF("b", "_lb"), "b", "left")
+    return named.where(F.coalesce("_la", "a") != F.coalesce("_lb", "b")).select("a", "b")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """``node, label`` with the smallest node reachable over stored ``links`` (``a, b``).
 
