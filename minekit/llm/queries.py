@@ -12,10 +12,13 @@ from minekit.checks.views import table
 from minekit.llm.decontamination import Decontamination
 from minekit.llm.language import LanguageEvidence, page_evidence
 from minekit.llm.neardup import NearDuplicates
+from minekit.llm.licenses import license_scan
+from minekit.llm.licenses import oracle as license_oracle
 from minekit.llm.neighbours import LearnedPartitions
 from minekit.llm.packing import Packing
 from minekit.llm.records import token_records
 from minekit.llm.toxicity import Toxicity
+from minekit.llm.urlrules import Listed, UrlFilter, labelled_pages
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +63,28 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Packing(public_tokenizers.path("word_bpe_49k.json"), end_id=1, size=2048).run(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = (
+    Listed("com", "/", "allow"),
+    Listed("example.com", "/en/", "block"),
+    Listed("www.example.com", "/en/", "allow"),
+    Listed("net", "/es/", "block"),
+    Listed("net", "/fr/", "block"),
+)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page addresses by listed rules, else by rules mined from labels."""
+    pages = table(spark, sf_dir, "pages")
+    operator = UrlFilter(URL_RULES)
+    return operator.judge(pages, operator.mine(labelled_pages(pages, table(spark, sf_dir, "labels"))))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents by the digest of the whole text, and of their notice lines."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op5_decontamination, op6_minhash_near_dedup, op8_language_id, op9_packing)
+    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op8_language_id, op9_packing, op10_license_scan)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_license_scan": license_oracle()}
