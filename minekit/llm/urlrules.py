@@ -105,10 +105,13 @@ class UrlFilter:
         counts = settle(known.select(F.explode("tokens").alias("token")).groupBy("token").count(), "tokens")
         # by the support at most (tokens of an address / support) tokens pass
         usable = counts.where(F.col("count").between(least * n, self.common * n))
-        names = usable.agg(F.array_sort(F.collect_list(F.struct("count", "token")))).scalar()
+        tokens = [r.token for r in usable.orderBy("count", "token").collect()]
+        if not tokens:
+            return empty
+        names = F.array(*map(F.lit, tokens))  # the rarest first
         baskets = known.select(
             F.array_union(
-                F.array_intersect("tokens", F.transform(names, lambda x: x["token"])),
+                F.array_intersect("tokens", names),
                 F.when(F.col("unwanted") == 1, F.array(F.lit(UNWANTED))).otherwise(F.array().cast("array<string>")),
             ).alias("items")
         )
@@ -117,7 +120,7 @@ class UrlFilter:
             (F.size("consequent") == 1) & (F.col("consequent")[0] == UNWANTED) & (F.col("lift") >= self.lift)
         )
         ranked = found.select(
-            F.filter(names, lambda x: F.array_contains("antecedent", x["token"]))[0]["token"].alias("anchor"),
+            F.array_intersect(names, "antecedent")[0].alias("anchor"),
             "antecedent", "confidence", "lift",
         )
         return settle(ranked, "rules")
