@@ -119,6 +119,20 @@ class NearDuplicates:
             "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
         )
 
+    def deduplicated(self, docs: DataFrame) -> DataFrame:
+        """The rows of ``docs``, with all their columns, without all but one document of each component.
+
+        Rows that share a ``doc_id`` are copies; any one of them stays. Rows without one all stay.
+        """
+        judged = settle(self.components(docs), "components").where("doc_id is not null")
+        away = settle(judged.where("not kept").select("doc_id").distinct(), "copies")
+        repeated = settle(judged.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+        kept = _without(docs, away)
+        if repeated.isEmpty():
+            return kept
+        once = kept.join(repeated.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left_semi")
+        return _without(kept, repeated).unionByName(once.dropDuplicates(["doc_id"]))
+
     def _links(self, docs: DataFrame, reps: DataFrame) -> DataFrame:
         """``a, b`` for confirmed links that connect the classes."""
         filed = reps.select("rep", F.posexplode("bands").alias("band", "hash")).select(
@@ -190,6 +204,12 @@ class NearDuplicates:
         return both.where(enough).select("a", "b").distinct()
 
 
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    named = ids.withColumnRenamed("doc_id", "_id")
+    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(named) if few else named, F.col("doc_id") == F.col("_id"), "left_anti")
+
+
 def _side(name: str) -> list[Column]:
     return [
         F.col("rep").alias(name), F.col("part").alias(f"part_{name}"), F.col("n_shingles").alias(f"n_{name}"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from minekit.checks.views import table
 from minekit.llm.decontamination import Decontamination
+from minekit.llm.html import PageText
 from minekit.llm.language import LanguageEvidence, page_evidence
 from minekit.llm.neardup import NearDuplicates
 from minekit.llm.licenses import license_scan
@@ -48,6 +49,13 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(shingle=2, percent=80).components(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    operator = PageText()
+    return operator.run(pages, operator.fit(pages))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents from their text and, where a page shows them, its markup, address and host."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint"), "text", "lang")
@@ -85,6 +93,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op8_language_id, op9_packing, op10_license_scan)
+    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_language_id, op9_packing, op10_license_scan)
 }
 ORACLES: dict[str, str] = {"op10_license_scan": license_oracle()}
