@@ -2,10 +2,11 @@
 
 A document is the set of its distinct word shingles. The steps:
 
-1. Where the texts are read, each set becomes a key of the whole set, MinHash samples, band hashes and an
-   *odd sketch*: the samples are folded into a bitmap in which each sample flips one bit. Samples that two
-   documents share cancel in the XOR of their sketches, so its population count tells how many
-   samples differ, and most precisely so for high similarities.
+1. Where the texts are read, each set becomes a key of the whole set, band hashes of MinHash samples, and two
+   *odd sketches*: MinHash samples by one permutation (the smallest hash in each of many bins) are folded
+   into a bitmap in which each sample flips one bit. Samples that two documents share cancel in the XOR of
+   their sketches, so its population count tells how many differ, and most precisely so
+   for high similarities. Small sets use many bins, so that nearly the whole set is sampled; large sets use few.
 2. Documents with equal sets are one class; its smallest id stands for it.
 3. Each class is paired with the smallest class that it shares a bucket with, then, where that leaves it
    unconnected, with the smallest class of every bucket. Pairs whose sketches differ too much are dropped, the
@@ -37,7 +38,9 @@ from minekit.functions.skew import balanced_join
 from minekit.functions.storage import Stored, settle, stored
 from minekit.llm.batches import SPACES, Words, map_batches, mixed, text_slices
 
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16  # 1024 bits
+BINS = (4096, 512)
+SMALL_SET = 1500
 _SHINGLE = np.uint64(0xD1342543DE82EF95)
 _CHUNK = 1 << 15
 BROADCAST_ROWS = 500_000
@@ -47,20 +50,20 @@ BROADCAST_ROWS = 500_000
 class NearDuplicates:
     """Words per shingle, similarity in percent, and the bands of MinHash samples.
 
-    With 32 bands of 5 a pair at similarity 0.8 shares a bucket with probability 1 - 3e-6. ``max_flips`` is the
-    largest population count that is still confirmed exactly; at similarity 0.8 and 160
-    samples 57 are expected, and 104 lie six standard deviations above.
+    With 32 bands of 5 a pair at similarity 0.8 shares a bucket with probability 1 - 3e-6. A pair is confirmed exactly
+    unless its sketches differ in more bits than a pair at the wanted similarity does, plus ``deviations`` standard
+    deviations of the sampling and of the bitmap each.
     """
 
     shingle: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 5
-    max_flips: int = 104
+    deviations: float = 4.0
     seed: int = 7
 
     def signatures(self, docs: DataFrame) -> DataFrame:
-        """``doc_id, n_shingles, k1, k2, bands, sketch`` of every row; ``k1, k2`` name the whole set."""
+        """``doc_id, n_shingles, k1, k2, bands, sketch, n_samples`` of every row; ``k1, k2`` name the whole set."""
         k, bands, rows, seed = self.shingle, self.bands, self.rows, self.seed
 
         def sign(batches: Iterator[pa.RecordBatch]):
@@ -74,7 +77,7 @@ class NearDuplicates:
                     columns["n_shingles"] = np.diff(bounds)
                     yield columns
 
-        schema = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, sketch array<bigint>"
+        schema = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, sketch array<bigint>, n_samples array<int>"
         return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), sign, schema)
 
     def sets(self, docs: DataFrame) -> DataFrame:
@@ -104,7 +107,7 @@ class NearDuplicates:
         # one row carries the bands of a class: that of its smallest id
         named = classes.select(F.col("rep").alias("doc_id"), "k1", "k2", F.col("rep"))
         own = signed.join(named, ["doc_id", "k1", "k2"])
-        reps = settle(own.dropDuplicates(["rep", *keys]).select("rep", *keys, "bands", "sketch"), "classes")
+        reps = settle(own.dropDuplicates(["rep", *keys]).select("rep", *keys, "bands", "sketch", "n_samples"), "classes")
         linked = self._links(docs, reps)
         labels = connected(linked)
 
@@ -158,7 +161,7 @@ class NearDuplicates:
         sizes = parts.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
         apart = sizes.groupBy("bucket").agg(F.max_by("part", "n").alias("major"), F.count(F.lit(1)).alias("n"))
         apart = parts.join(apart.where("n > 1").select("bucket", "major"), "bucket")
-        rest = settle(apart.join(reps.select("rep", "n_shingles", "sketch"), "rep"), "apart")
+        rest = settle(apart.join(reps.select("rep", "n_shingles", "sketch", "n_samples"), "rep"), "apart")
         # the largest part of a bucket meets the others only, never itself
         minor = rest.where("part <> major").select("bucket", *_side("a"))
         every = rest.select("bucket", *_side("b"))
@@ -179,15 +182,35 @@ class NearDuplicates:
 
     def _allowed(self) -> Column:
         """Whether odd sketches and sizes allow the similarity."""
-        flips = sum(
-            (F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_WORDS)), F.lit(0)
-        )
-        return (flips <= self.max_flips) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
+        p = self.percent / 100
+        n = F.col("n_a") + F.col("n_b")
+
+        def within(which: int) -> Column:
+            """By the sketch with ``BINS[which]`` bins."""
+            bins, bits = BINS[which], 64 * SKETCH_WORDS
+            first = which * SKETCH_WORDS
+            flips = sum(
+                (F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(first, first + SKETCH_WORDS)),
+                F.lit(0),
+            )
+            samples = F.col("samples_a")[which] + F.col("samples_b")[which]
+            # at similarity p: bins that hold a sample of either, those with an equal one, and those that differ
+            filled = bins * (1 - F.exp(-n / ((1 + p) * bins)))
+            left_out = F.greatest(1 - samples / n, F.lit(0.0))
+            differ = F.greatest(samples - 2 * p * filled, F.lit(0.0))
+            differ = differ + 2 * self.deviations * F.sqrt(0.25 * filled * left_out + 1)
+            fade = F.exp(-4 * differ / bits)
+            spread = F.sqrt(F.greatest(bits / 4 * (1 - fade) - differ * fade, F.lit(1.0)))
+            return flips <= bits / 2 * (1 - F.exp(-2 * differ / bits)) + self.deviations * spread
+
+        sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
+        return sizes & F.when(F.greatest("n_a", "n_b") <= SMALL_SET, within(0)).otherwise(within(1))
 
     def _close(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
         """The pairs whose sketches and sizes allow the similarity; with their sizes."""
-        side = reps.select("rep", "sketch", "n_shingles")
-        both = pairs.join(side.toDF("a", "sketch_a", "n_a"), "a").join(side.toDF("b", "sketch_b", "n_b"), "b")
+        side = reps.select("rep", "sketch", "n_shingles", "n_samples")
+        both = pairs.join(side.toDF("a", "sketch_a", "n_a", "samples_a"), "a")
+        both = both.join(side.toDF("b", "sketch_b", "n_b", "samples_b"), "b")
         return both.where(self._allowed()).select("a", "b", "n_a", "n_b")
 
     def _confirm(self, near: DataFrame, docs: DataFrame) -> DataFrame:
@@ -213,7 +236,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def _side(name: str) -> list[Column]:
     return [
         F.col("rep").alias(name), F.col("part").alias(f"part_{name}"), F.col("n_shingles").alias(f"n_{name}"),
-        F.col("sketch").alias(f"sketch_{name}"),
+        F.col("sketch").alias(f"sketch_{name}"), F.col("n_samples").alias(f"samples_{name}"),
     ]
 
 
@@ -283,7 +306,7 @@ class _Family:
         n = bands * rows
         self.a = draw.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.b = draw.integers(0, 1 << 63, n, dtype=np.uint64)
-        self.salt = mixed(np.arange(1, n + 1, dtype=np.uint64) * _SHINGLE)
+        self.salt = draw.integers(0, 1 << 63, dtype=np.uint64)
 
     def sign(self, sets: np.ndarray, bounds: np.ndarray) -> dict:
         n_texts, n = len(bounds) - 1, len(self.a)
@@ -308,21 +331,29 @@ class _Family:
         for band in range(self.bands):
             for i in range(band * self.rows, (band + 1) * self.rows):
                 banded[band] = mixed(banded[band] * _SHINGLE + samples[i])
-        bits = mixed(samples ^ self.salt[:, None]) >> np.uint64(55)  # 512 places
-        sketch = np.zeros((SKETCH_WORDS, n_texts), np.uint64)
-        one = np.uint64(1)
-        for i in range(n):
-            word, bit = (bits[i] >> np.uint64(6)).astype(np.int64), bits[i] & np.uint64(63)
-            sketch[word, np.arange(n_texts)] ^= one << bit
+        owner = np.repeat(np.arange(n_texts), sizes)
+        sketches, counts = zip(*(self._odd_sketch(sets, owner, n_texts, bins) for bins in BINS))
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(sets), dtype=np.uint64)))
-        more = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(sets ^ self.salt[0]), dtype=np.uint64)))
+        more = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(sets ^ self.salt), dtype=np.uint64)))
         return {
             "k1": (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64),
             "k2": (more[bounds[1:]] - more[bounds[:-1]]).view(np.int64),
             "bands": _lists(banded),
-            "sketch": _lists(sketch),
+            "sketch": _lists(np.concatenate(sketches)),
+            "n_samples": pa.array(list(np.stack(counts, 1).astype(np.int32)), pa.list_(pa.int32())),
         }
 
+    def _odd_sketch(self, sets: np.ndarray, owner: np.ndarray, n_texts: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
+        """The bitmap (a column per text) and the number of samples: the first hash of each bin, as sets are sorted."""
+        place = owner * bins + (sets >> np.uint64(64 - bins.bit_length() + 1)).astype(np.int64)
+        first = np.ones(len(sets), bool)
+        first[1:] = place[1:] != place[:-1]
+        bits = 64 * SKETCH_WORDS
+        bit = (mixed(sets[first] ^ self.salt) % np.uint64(bits)).astype(np.int64)
+        flips = np.bincount(owner[first] * bits + bit, minlength=n_texts * bits).reshape(n_texts, bits) & 1
+        packed = np.packbits(flips.astype(np.uint8), axis=1).view(np.uint64).reshape(n_texts, SKETCH_WORDS)
+        return packed.T, np.bincount(owner[first], minlength=n_texts)
+
 
 def _lists(rows: np.ndarray) -> pa.Array:
     width, n = rows.shape
