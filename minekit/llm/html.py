@@ -194,7 +194,7 @@ def features(tree: Tree) -> np.ndarray:
         own[1] = links[i] / max(size[i], 1.0)
         own[2] = min(size[i], 100.0) / 100
         own[3] = size[i] / total
-        own[4] = min(marks[i] / max(size[i], 1.0) * 30, 2.0)
+        own[4] = min(marks[i] / max(size[i], 1.0) * 30, 1.0)
         own[5] = seen / total
         own[6] = size[i] < 40
         if tree.text[i] is not None:
@@ -321,7 +321,7 @@ def variants(page: str, seed: int) -> list[str]:
     if not found:
         return []
     draw = np.random.default_rng(seed)
-    said = [t for t in re.split(r"[.<>]", found.group(3)) if len(t) > 20] or ["more"]
+    said = [t for t in re.split(r"(?<=\.) |[<>]", found.group(3)) if len(t) > 20] or ["more."]
 
     def filled(block: str, most: int) -> str:
         return block.format(**{k: str(said[draw.integers(0, len(said))])[:most] for k in "abc"})
@@ -330,12 +330,12 @@ def variants(page: str, seed: int) -> list[str]:
         return "".join(filled(EXTRA[i], 200) for i in draw.choice(len(EXTRA), n, replace=False))
 
     out = [page]
-    for _ in range(2):
+    for _ in range(3):
         opening = NEUTRAL[draw.integers(0, len(NEUTRAL))]
         inner = found.group(3)
         if draw.random() < 0.5:
             inner += filled(GOOD[draw.integers(0, len(GOOD))], 30)
-        if draw.random() < 0.4:
+        if draw.random() < 0.8:
             inner += some(1)
         body = f'<{opening} data-y="1">{inner}</{opening.split()[0]}>'
         out.append(page[: found.start()] + some(2) + body + some(2) + page[found.end() :])
@@ -346,6 +346,13 @@ def variants(page: str, seed: int) -> list[str]:
     return out
 
 
+# shares of child states by parent state before any page is seen, worth 50 nodes each
+STEP_PRIOR = np.array([
+    [[0.99, 0.01], [0.01, 0.99]],
+    [[0.99, 0.01], [0.98, 0.02]],
+    [[0.30, 0.70], [0.05, 0.95]],
+    [[0.95, 0.05], [0.05, 0.95]],
+])
 PRIOR = {"article": 3.0, "main": 3.0, "nav": -4.0, "footer": -4.0, "aside": -4.0, "form": -4.0, "header": -3.0}
 
 
@@ -364,7 +371,7 @@ def prior_weights() -> np.ndarray:
 class PageText:
     """``sample_rows`` bounds the pages of the fit; ``smoothing`` is added to the shares of parent and child states."""
 
-    sample_rows: int = 600
+    sample_rows: int = 500
     smoothing: float = 0.001
     seed: int = 3
 
@@ -373,7 +380,7 @@ class PageText:
         named = pages.where(F.lower("html").rlike("<(article|main)[ >]")).select("html").distinct()
         rows = named.orderBy(F.xxhash64("html"), "html").limit(self.sample_rows).collect()
         xs, ys = [], []
-        step = np.zeros((KINDS, 2, 2))
+        step = 50 * STEP_PRIOR
         for i, r in enumerate(rows):
             for page in variants(r.html, self.seed * 1_000_003 + i):
                 tree = parse(page)
