@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 BATCH_BYTES = 16 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -27,12 +27,18 @@ def bounded_batches(spark: SparkSession, rows: int = 2_000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with bounded batches; ``function`` makes a dict of columns from each batch."""
+# caches that outlive a task; dropped when another kind of work starts in the same worker
+HELD: dict[str, object] = {}
+
+
+def map_batches(df: DataFrame, function, schema: str, keeps_caches: bool = False) -> DataFrame:
+    """``mapInArrow`` with bounded batches; ``function`` makes dicts of columns from the batches."""
     bounded_batches(df.sparkSession)
     arrow = pa.schema(_arrow_fields(df.sparkSession, schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps_caches:
+            HELD.clear()
         for columns in function(batches):
             yield pa.RecordBatch.from_arrays(
                 [_as_array(columns[f.name], f.type) for f in arrow], schema=arrow
@@ -41,6 +47,18 @@ def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def filter_batches(df: DataFrame, function) -> DataFrame:
+    """The rows of ``df`` for which ``function`` says so; it makes a boolean array from each batch."""
+    bounded_batches(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        HELD.clear()
+        for batch in batches:
+            yield batch.filter(pa.array(function(batch)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _arrow_fields(spark: SparkSession, schema: str) -> list[pa.Field]:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minekit.llm.batches import Words, bounded_batches, map_batches, text_slices
+from minekit.llm.batches import Words, filter_batches, map_batches, text_slices
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 SEPARATORS = tuple(b for b in range(128) if not chr(b).isalnum())
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,19 +82,16 @@ class Decontamination:
         """The rows of ``docs`` whose text matches no item, with all their columns."""
         items = self._items(benchmark)
         index = docs.sparkSession.sparkContext.broadcast(_Index(self, items))
-        schema = docs.schema
 
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def keep(batch: pa.RecordBatch) -> np.ndarray:
             words, own = Words(SEPARATORS), index.value
-            for batch in batches:
-                kept = np.ones(len(batch), bool)
-                for first, _, raw, offsets in text_slices(batch.column("text"), SLICE):
-                    hashes, _, _, bounds = words(raw, offsets)
-                    kept[own.search(hashes, bounds)[0] + first] = False
-                yield batch.filter(pa.array(kept))
+            kept = np.ones(len(batch), bool)
+            for first, _, raw, offsets in text_slices(batch.column("text"), SLICE):
+                hashes, _, _, bounds = words(raw, offsets)
+                kept[own.search(hashes, bounds)[0] + first] = False
+            return kept
 
-        bounded_batches(docs.sparkSession)
-        return docs.mapInArrow(keep, schema)
+        return filter_batches(docs, keep)
 
     def _items(self, benchmark: DataFrame) -> list[tuple[int, str]]:
         rows = (

@@ -41,10 +41,12 @@ _LETTER[128:] = np.arange(128, 256)
 
 def trigrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the letter trigrams of a slice, and the bounds of each text's run."""
-    text = _LETTER[raw]
+    # a blank on both sides of each text
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) + 2)
+    text = np.full(len(owner), 32, np.uint8)
+    text[np.arange(len(raw)) + 2 * np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) + 1] = _LETTER[raw]
     if len(text) < 3:
         return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     a, b, c = text[:-2].astype(np.uint32), text[1:-1].astype(np.uint32), text[2:].astype(np.uint32)
     good = (b != 32) & (owner[:-2] == owner[2:])
     code = ((a << 16 | b << 8 | c) * np.uint32(2654435761)) >> np.uint32(17)
@@ -131,7 +133,7 @@ class LanguageEvidence:
             return counts.groupBy(*by).agg(F.array(*sums).alias(name))
 
         whole = listed([], "all_counts")
-        total = whole.select(F.coalesce("all_counts", F.array_repeat(F.lit(0).cast("bigint"), n)).alias("c")).first()[0]
+        total = [x or 0 for x in whole.first()[0]]
         prior = (np.array(total, float) + 1) / (sum(total) + n)
         prior[-1] = self.unknown_prior
         prior = prior / prior.sum()

@@ -98,7 +98,7 @@ class Packing:
                 yield dict(zip(("doc_id", "start", "length", "ids_crc32", "doc_tokens"), map(list, columns)))
 
         schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-        return settle(map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), cut, schema), "pieces")
+        return settle(map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), cut, schema, True), "pieces")
 
     def plan(self, pieces: DataFrame) -> DataFrame:
         """``length, first, last, base, offset``: where the ranks of each length go; bounded by ``size``."""
@@ -151,7 +151,7 @@ class Packing:
                 columns = zip(*rows) if rows else [[]] * 3
                 yield dict(zip(("doc_id", "start", "part"), map(list, columns)))
 
-        parts = map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), cut, "doc_id bigint, start bigint, part array<int>")
+        parts = map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), cut, "doc_id bigint, start bigint, part array<int>", True)
         joined = placed.join(parts, ["doc_id", "start"]).groupBy("sequence_id")
         listed = joined.agg(F.sum("length").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("offset", "part"))).alias("p"))
         ids = F.flatten(F.transform("p", lambda x: x["part"]))

@@ -123,7 +123,7 @@ class RecordFiles:
             .sortWithinPartitions("doc_id", "_hash", "text")
             .select("doc_id", "text")
         )
-        manifest = map_batches(ordered, write, "shard bigint, path string, n_records bigint, n_tokens bigint")
+        manifest = map_batches(ordered, write, "shard bigint, path string, n_records bigint, n_tokens bigint", True)
         return settle(manifest, "manifest")
 
     def read(self, manifest: DataFrame) -> DataFrame:

@@ -15,7 +15,9 @@ import re
 
 import numpy as np
 
-CACHE_WORDS = 900_000
+from minekit.llm.batches import HELD
+
+CACHE_WORDS = 700_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _MARKS = r"!-/:-@\[-`{-~"
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -24,7 +26,6 @@ _LEADING = re.compile(rf"{_ENDINGS}| ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|(?<=\
 _DROPPED = re.compile(rf"{_ENDINGS}|[{_LETTERS}]+|[0-9]|[{_MARKS}]+")
 # how the two kinds state their pattern in the file
 _DROPPED_FORM = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
@@ -92,6 +93,6 @@ def _kind_of(spec: dict) -> str:
 def encoder(path: str, end_id: int) -> Encoder:
     """The encoder of this worker for a tokenizer file."""
     key = f"{path}:{end_id}"
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, end_id)
-    return _ENCODERS[key]
+    if key not in HELD:
+        HELD[key] = Encoder(path, end_id)
+    return HELD[key]

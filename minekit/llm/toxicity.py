@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from minekit.functions.storage import settle
-from minekit.llm.batches import SPACES, Words, bounded_batches, map_batches, text_slices
+from minekit.llm.batches import SPACES, Words, filter_batches, map_batches, text_slices
 
 WORD = re.compile(r"[^\W_](?:[\w@$]*[^\W_])?")
 # fixed values: signs that stand for letters, marks of quotation, words of reporting and of address
@@ -50,7 +50,7 @@ REPORTING = frozenset(
 ADDRESS = frozenset("you your youre ye du dich dein ihr euch tu toi vous tes eres tú usted ustedes".split())
 CONTEXT_PRIOR = np.array([0.0, -2.0, -1.0, 0.5, 1.0])  # bias, quoted, reported, addressed, with another hit
 TEXT_PRIOR = np.array([-4.0, 1.0, 0.5, 4.0, 0.0])  # bias, sum, hits per 1000 words, largest, words
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 @dataclass
@@ -268,8 +268,6 @@ class Toxicity:
         picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
         texts = docs.select(F.col("doc_id").cast("bigint"), "text").where("text is not null")
         texts = texts.join(F.broadcast(picked), "doc_id")  # about ``sample_rows`` rows
-        bounded_batches(docs.sparkSession)
-
         def split(batches: Iterator[pa.RecordBatch]):
             words = Words(SPACES)
             for batch in batches:
@@ -402,13 +400,9 @@ class Toxicity:
         """The rows of ``docs`` that are not toxic, with all their columns."""
         shared, limit = docs.sparkSession.sparkContext.broadcast(model), self.threshold
 
-        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = shared.value.scores(batch.column("text").fill_null("").to_pylist())
-                yield batch.filter(pa.array(found < limit))
-
-        bounded_batches(docs.sparkSession)
-        return docs.mapInArrow(read, docs.schema)
+        return filter_batches(
+            docs, lambda batch: shared.value.scores(batch.column("text").fill_null("").to_pylist()) < limit
+        )
 
 
 def held_out(doc_id: str):
