@@ -377,8 +377,12 @@ class PageText:
 
     def fit(self, pages: DataFrame) -> PageModel:
         """Train on a bounded sample of labelled pages; only these reach the driver."""
-        named = pages.where(F.lower("html").rlike("<(article|main)[ >]")).select("html").distinct()
-        rows = named.orderBy(F.xxhash64("html"), "html").limit(self.sample_rows).collect()
+        named = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).select("html", F.xxhash64("html").alias("mark"))
+        n = named.select("mark").distinct().count()
+        share = min(1.0, self.sample_rows / n) if n else 0.0
+        picked = named.where(F.pmod(F.xxhash64("mark"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        # about ``sample_rows`` different pages
+        rows = picked.groupBy("mark").agg(F.first("html").alias("html")).orderBy("mark").collect()
         xs, ys = [], []
         step = 50 * STEP_PRIOR
         for i, r in enumerate(rows):

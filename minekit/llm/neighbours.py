@@ -92,8 +92,10 @@ class LearnedPartitions:
 
     def fit(self, entries: DataFrame) -> Router | None:
         """Partition and router from a sample of stored entries; None when there are none."""
-        sample = entries.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(self.sample_rows)
-        rows = [r[0] for r in sample.collect()]
+        n = entries.count()
+        share = min(1.0, self.sample_rows / n) if n else 0.0
+        sample = entries.where(F.pmod(F.xxhash64("embedding"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        rows = [r[1] for r in sorted(sample.select("entry", "embedding").collect())]  # about ``sample_rows``
         if not rows:
             return None
         sizes, counts = np.unique([len(r) for r in rows], return_counts=True)
