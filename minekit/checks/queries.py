@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minekit.checks import views
-from minekit.checks.settings import CANDIDATES, DEPTH, KMEANS_STEPS, MIN_LEAF, RANK_STEPS, SEARCH, TOP
+from minekit.checks.settings import CANDIDATES, KMEANS_STEPS, MIN_LEAF, RANK_STEPS, SEARCH, TOP
 from minekit.functions.storage import fresh_path, settle
 from minekit.operators import cluster, features, graph, matrix, minhash, pairs, splits, text, tree
 from minekit.plans.decision_tree import DecisionTree, library_accuracy, search_splits
@@ -269,6 +269,12 @@ def lsh_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return buckets.select("band", F.array_join("bucket", ":").alias("bucket"), "n_docs", "first_doc")
 
 
+@query
+def bucket_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = settle(minhash.lsh_rows(SEARCH.signatures(views.docs(spark, sf_dir)), SEARCH.bands, SEARCH.rows), "banded")
+    return minhash.bucket_members(rows).select("band", F.array_join("bucket", ":").alias("bucket"), "doc_id")
+
+
 def stored_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SEARCH.groups(SEARCH.signatures(views.docs(spark, sf_dir)))
 
@@ -411,7 +417,7 @@ def tree_split_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grown(rows: DataFrame) -> DataFrame:
-    return DecisionTree(MIN_LEAF, CANDIDATES, DEPTH).fit(rows)
+    return DecisionTree(MIN_LEAF, CANDIDATES).fit(rows)
 
 
 @query

@@ -33,14 +33,18 @@ def hot_keys(counts: DataFrame, block_cost: int = BLOCK_COST) -> DataFrame:
     limit = costed.agg(
         F.greatest(F.lit(float(block_cost)), F.coalesce(F.sum("_cost"), F.lit(0.0)) / MAX_HOT)
     ).scalar()
+    # blocks of somewhat over half the limit, as rows fall into them by chance
+    blocks = F.ceil(1.75 * F.col("_cost") / F.col("_limit"))
+    # shared between the sides by their sizes: a side of one row is never cut
+    share = F.sqrt(blocks * F.col("_right") / F.greatest("_left", F.lit(1)))
+    cols = F.least(F.greatest(F.ceil(share), F.lit(1)), F.greatest("_right", F.lit(1)), F.col("_blocks"))
+    rows = F.least(F.ceil(F.col("_blocks") / F.col("_cols")), F.greatest("_left", F.lit(1)))
     return (
         costed.withColumn("_limit", limit)
         .where("_cost > _limit")
-        .select(
-            "_key",
-            F.greatest(F.ceil(F.col("_left") / F.sqrt("_limit")), F.lit(1)).cast("int").alias("_rows"),
-            F.greatest(F.ceil(F.col("_right") / F.sqrt("_limit")), F.lit(1)).cast("int").alias("_cols"),
-        )
+        .withColumn("_blocks", blocks)
+        .withColumn("_cols", cols)
+        .select("_key", rows.cast("int").alias("_rows"), F.col("_cols").cast("int").alias("_cols"))
     )
 
 

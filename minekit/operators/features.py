@@ -2,37 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minekit.functions.columns import to_number
+from minekit.functions.ranking import dense_index
 from minekit.functions.skew import balanced_join
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, on: str, spread: str) -> DataFrame:
     """Inner join with a table that has one row per ``on``.
 
-    The table is counted: up to ``BROADCAST_ROWS`` rows it is broadcast, beyond that both sides are
-    shuffled with frequent keys cut into blocks.
+    The table is measured: up to ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` of keys it is broadcast,
+    beyond that both sides are shuffled with frequent keys cut into blocks.
     """
-    if table.count() <= BROADCAST_ROWS:
+    size = F.coalesce(F.sum(F.length(F.col(on).cast("string"))), F.lit(0))
+    rows_found, key_bytes = table.agg(F.count(F.lit(1)), size).first()
+    if rows_found <= BROADCAST_ROWS and key_bytes <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), on)
     return balanced_join(rows, table, [on], [spread])
 
 
 def category_index(rows: DataFrame) -> DataFrame:
     """``category, position``: the distinct categories numbered from 0 in ascending order."""
-    # one row per category: as short as a single one-hot vector
-    order = Window.orderBy("category")
-    return rows.select("category").distinct().select("category", (F.row_number().over(order) - 1).alias("position"))
+    known = dense_index(rows.select(_named()).distinct(), "category", "position")
+    return known.select("category", F.col("position").cast("int").alias("position"))
+
+
+def _named() -> Column:
+    """The category of a row; an absent one is the empty category, as in a file with an empty field."""
+    return F.coalesce("category", F.lit("")).alias("category")
 
 
 def one_hot_features(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Add ``one_hot``: an array with 1.0 at the position of the category and 0.0 elsewhere."""
     sized = index.withColumn("last", index.agg(F.max("position")).scalar())
-    placed = lookup_join(rows, sized, "category", "row_id")
+    keyed = rows.select("*", _named().alias("_category"))
+    placed = lookup_join(keyed, sized.withColumnRenamed("category", "_category"), "_category", "row_id")
     one_hot = F.transform(F.sequence(F.lit(0), F.col("last")), lambda at: F.when(at == F.col("position"), 1.0).otherwise(0.0))
     return placed.select(*rows.columns, one_hot.alias("one_hot"))
 

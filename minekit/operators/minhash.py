@@ -11,6 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# ids hashed at once, 8 MB; a longer document is a run of its own
+RUN_IDS = 1 << 20
+
 
 @dataclass(frozen=True)
 class MinHash:
@@ -63,21 +66,30 @@ def minhash_signatures(ids: DataFrame, family: MinHash) -> DataFrame:
 def list_signatures(lists: DataFrame, family: MinHash) -> DataFrame:
     """``doc_id, sig`` of ``doc_id, ids`` with all shingle ids of a document in one row.
 
-    The same signatures as ``minhash_signatures`` without any shuffle, over Arrow batches. Documents
+    The same signatures as ``minhash_signatures`` without any shuffle, over Arrow batches: each hash is
+    computed once over the ids of many documents, in runs of bounded length. Documents
     without ids are dropped inside the batch: a filter behind it would be pushed down and repeat the
     whole text expression.
     """
     parameters, prime, modulus = family.parameters(), family.prime, family.modulus
 
-    def signature(ids: np.ndarray) -> np.ndarray:
-        x = np.mod(ids, prime)
-        hashed = ((x * a + b) % prime for a, b in parameters)
-        return np.array([(h if modulus is None else h % modulus).min() for h in hashed])
+    def minima(lists: list[np.ndarray]) -> np.ndarray:
+        x = np.mod(np.concatenate(lists), prime)
+        starts = np.concatenate(([0], np.cumsum([len(ids) for ids in lists])))[:-1]
+        out = np.empty((len(lists), len(parameters)), np.int64)
+        for i, (a, b) in enumerate(parameters):
+            hashed = (x * a + b) % prime
+            out[:, i] = np.minimum.reduceat(hashed if modulus is None else hashed % modulus, starts)
+        return out
 
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[batch["ids"].map(lambda ids: ids is not None and len(ids) > 0)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "sig": batch["ids"].map(signature)})
+            ends = np.cumsum([len(ids) for ids in batch["ids"]])
+            for run in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(ends // RUN_IDS)) + 1):
+                if len(run):
+                    own = batch.iloc[run]
+                    yield pd.DataFrame({"doc_id": own["doc_id"], "sig": list(minima(own["ids"].tolist()))})
 
     key = lists.schema["doc_id"].dataType.simpleString()
     return lists.select("doc_id", "ids").mapInPandas(signed, f"doc_id {key}, sig array<bigint>")
@@ -105,3 +117,8 @@ def lsh_buckets(rows: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
         .where("n_docs > 1")
     )
+
+
+def bucket_members(rows: DataFrame) -> DataFrame:
+    """``band, bucket, doc_id``: a row for each member of a bucket with two or more documents."""
+    return rows.join(lsh_buckets(rows).select("band", "bucket"), ["band", "bucket"], "left_semi")

@@ -9,9 +9,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minekit.functions.storage import settle
+from minekit.functions.storage import partitions_for, settle, stored
 from minekit.operators.graph import blocked_links, graph_nodes, link_table, pagerank_step, start_state
 
+LINK_BYTES = 64 << 20  # stored links per partition
+
 
 @dataclass(frozen=True)
 class PageRank:
@@ -32,24 +34,26 @@ class PageRank:
 
         The links are shuffled to their place once and kept there for all steps; a step moves only
         rank-sized tables and the partial sums of the contributions. Each step's ranks are stored.
-        ``on_step`` is called with the step number and its ranks, for logging or saving.
+        A step's ranks are removed once the next are stored; ``on_step`` is called with the step number
+        and its ranks, for logging or saving, and has to use them before it returns.
         """
-        spark = edges.sparkSession
         nodes = graph_nodes(edges) if nodes is None else nodes
         n_nodes = nodes.count()
         folded = settle(link_table(edges), "links")
         links, sources = blocked_links(folded, folded.count(), self.block_rows)
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = partitions_for(folded, LINK_BYTES)
         links = links.repartition(partitions, "src", "block").persist(StorageLevel.MEMORY_AND_DISK)
-        state = settle(start_state(nodes, sources, n_nodes, ranks), "ranks")
+        state = stored(start_state(nodes, sources, n_nodes, ranks), "ranks")
         try:
             for step in range(1, steps + 1):
-                state = settle(pagerank_step(state, links, n_nodes, self.beta), "ranks")
+                after = stored(pagerank_step(state.table, links, n_nodes, self.beta), "ranks")
+                state.discard()
+                state = after
                 if on_step is not None:
-                    on_step(step, state.select("node", "rank"))
+                    on_step(step, state.table.select("node", "rank"))
         finally:
             links.unpersist()
-        return state.select("node", "rank")
+        return state.table.select("node", "rank")
 
 
 def save_ranks(ranks: DataFrame, path: str) -> None:

@@ -39,10 +39,34 @@ def test_packs_give_the_same_result(cloud, n_packs):
 
 def test_long_vectors_give_the_same_result(cloud, monkeypatch):
     wanted = sorted(tuple(r) for r in assignments(*cloud).drop("v").collect())
-    monkeypatch.setattr("minekit.operators.cluster.BATCH_DIMENSION", 1)
+    monkeypatch.setattr("minekit.operators.cluster.BATCH_NUMBERS", 1)
     assert sorted(tuple(r) for r in assignments(*cloud).drop("v").collect()) == wanted
 
 
+@pytest.mark.parametrize("n_packs", [1, 2])
+def test_undefined_distances_and_repeated_ids(spark, n_packs):
+    data = points(spark, [(1, [0.0]), (1, [4.0]), (1, [4.0]), (2, [float("nan")])])
+    near = assignments(data, centroids(spark, [(0, [float("nan")]), (1, [2.0])]), n_packs=n_packs)
+    got = sorted((r.id, r.cid_l1, r.l1, r.cid_l2, r.l2sq) for r in near.where("id = 1").collect())
+    assert got == [(1, 1, 2.0, 1, 4.0)] * 3
+    assert [tuple(r) for r in near.where("id = 2").drop("v").collect()] == [(2, None, None, None, None)]
+
+
+def test_many_centroids_in_bounded_memory(spark):
+    cents = spark.range(20_000).selectExpr("id AS cid", "array(double(id), 0.0D) AS v")
+    data = spark.range(50).selectExpr("id", "array(id * 7 + 0.2D, 1.0D) AS v")
+    got = nearest_centroid(assignments(data, cents), "l2").collect()
+    assert all(r.cid == r.id * 7 for r in got) and len(got) == 50
+
+
+@pytest.mark.parametrize("wide", [1, 256])
+def test_vectors_of_another_length_are_refused(spark, monkeypatch, wide):
+    monkeypatch.setattr("minekit.operators.cluster.WIDE_DIMENSION", wide)
+    near = points(spark, [(1, [0.0, 1.0]), (2, [1.0])]).selectExpr("id", "v", "0L AS cid_l2", "0D AS l1", "0D AS l2sq")
+    with pytest.raises(Exception, match="a vector has 1 numbers instead of 2"):
+        centroid_update(near, "l2", 2).collect()
+
+
 def test_long_and_wide_update_agree(cloud, monkeypatch):
     near = assignments(*cloud)
     wide = {r.cid: r for r in centroid_update(near, "l2", 3).collect()}

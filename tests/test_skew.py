@@ -42,6 +42,20 @@ def test_hot_key_work_is_spread_over_blocks(spark):
     assert grid["_rows"] >= 100
 
 
+def test_blocks_follow_the_work_and_the_sides(spark):
+    sizes = [(1, 10**10, 1), (2, 1, 10**10), (3, 10**5, 10**5), (4, 10**6, 10)]
+    counts = spark.createDataFrame(sizes, "_key bigint, _left bigint, _right bigint")
+    cost = 1 << 30
+    for r in hot_keys(counts, block_cost=cost).collect():
+        _, n_left, n_right = sizes[r["_key"] - 1]
+        work = n_left * n_right + n_left + n_right
+        assert r["_rows"] * r["_cols"] <= 2 * work / cost + 2
+        assert r["_rows"] <= n_left and r["_cols"] <= n_right
+    grid = {r["_key"]: (r["_rows"], r["_cols"]) for r in hot_keys(counts, block_cost=1 << 22).collect()}
+    assert grid[1][1] == 1 and grid[2][0] == 1
+    assert abs(grid[3][0] - grid[3][1]) <= 2
+
+
 def test_balanced_pairs_equal_brute_force(spark):
     rows = skewed(spark, 240, "doc")
     other = rows.withColumnsRenamed({"doc": "b"})
