@@ -39,8 +39,8 @@ from minekit.functions.storage import Stored, settle, stored
 from minekit.llm.batches import SPACES, Words, map_batches, mixed, text_slices
 
 SKETCH_WORDS = 16  # 1024 bits
-BINS = (4096, 512)
-SMALL_SET = 1500
+BINS = (16384, 512)
+SMALL_SET = 1000
 _SHINGLE = np.uint64(0xD1342543DE82EF95)
 _CHUNK = 1 << 15
 BROADCAST_ROWS = 500_000
@@ -198,7 +198,7 @@ class NearDuplicates:
             filled = bins * (1 - F.exp(-n / ((1 + p) * bins)))
             left_out = F.greatest(1 - samples / n, F.lit(0.0))
             differ = F.greatest(samples - 2 * p * filled, F.lit(0.0))
-            differ = differ + 2 * self.deviations * F.sqrt(0.25 * filled * left_out + 1)
+            differ = differ + 2 * self.deviations * F.sqrt(0.25 * filled * left_out + 0.25)
             fade = F.exp(-4 * differ / bits)
             spread = F.sqrt(F.greatest(bits / 4 * (1 - fade) - differ * fade, F.lit(1.0)))
             return flips <= bits / 2 * (1 - F.exp(-2 * differ / bits)) + self.deviations * spread
