@@ -1,10 +1,13 @@
-"""Readers for the text forms of each data kind; schemas are always explicit."""
+"""Readers for the text forms of each data kind; schemas are explicit, but for the names in a header."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from minekit.functions.ranking import dense_index
+from minekit.functions.storage import settle
+
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """``name,i,j,v`` lines as ``name, i, j, v``."""
@@ -19,8 +22,8 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     """Blank-separated numbers, one vector per line, as ``file, v``.
 
-    A line carries no key, so number the rows with ``operators.cluster.indexed`` over a key of your
-    own, or read ``id`` from a keyed form with ``read_keyed_vectors``.
+    A line carries no key: ``read_numbered_vectors`` numbers the lines in file order, and
+    ``read_keyed_vectors`` reads a form with keys.
     """
     return spark.read.text(path).select(
         F.col("_metadata.file_name").alias("file"),
@@ -28,6 +31,23 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_numbered_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """Blank-separated numbers, one vector per line, as ``id, v``, numbered from 0 in the order of files and lines.
+
+    The place of a line is taken at the scan (file, start of the split, place in the task), stored once so
+    that it stays, and then numbered by ranges.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    lines = spark.read.text(path).select(
+        place.alias("place"), F.transform(F.split("value", " "), lambda x: x.cast("double")).alias("v")
+    )
+    return dense_index(settle(lines, "lines"), "place", "id").select("id", "v")
+
+
 def read_keyed_vectors(spark: SparkSession, path: str) -> DataFrame:
     """``id<TAB>blank-separated numbers`` as ``id, v``."""
     fields = F.split("value", "\t")

@@ -22,6 +22,16 @@ def test_vectors(spark, tmp_path):
     ]
 
 
+def test_vectors_are_numbered_in_file_order(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"{i} 0\n" for i in range(40)))
+    (tmp_path / "b.txt").write_text("".join(f"{40 + i} 1\n" for i in range(3)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    got = readers.read_numbered_vectors(spark, str(tmp_path)).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.id, r.v[0]) for r in got) == [(i, float(i)) for i in range(43)]
+
+
 def test_corpus_is_keyed_by_file_name(spark, tmp_path):
     (tmp_path / "001.txt").write_bytes(b"Title\r\n\r\nBody text\n")
     (tmp_path / "002.txt").write_text("Other\n")
