@@ -7,20 +7,23 @@ long the texts are; a single longer text is a slice of its own.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 SLICE_BYTES = 1 << 19
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2_000) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """Bound the batches between Spark and Python by rows and bytes, where the session leaves them open."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -39,10 +42,12 @@ def map_batches(df: DataFrame, function, schema: str, keeps_caches: bool = False
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not keeps_caches:
             HELD.clear()
+        release_memory()
         for columns in function(batches):
             yield pa.RecordBatch.from_arrays(
                 [_as_array(columns[f.name], f.type) for f in arrow], schema=arrow
             )
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -53,12 +58,22 @@ def filter_batches(df: DataFrame, function) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         HELD.clear()
+        release_memory()
         for batch in batches:
             yield batch.filter(pa.array(function(batch)))
+        release_memory()
 
     return df.mapInArrow(run, df.schema)
 
 
+def release_memory() -> None:
+    """Give memory that is no longer used back to the system: workers outlive their tasks and share a machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _arrow_fields(spark: SparkSession, schema: str) -> list[pa.Field]:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
