@@ -1,7 +1,10 @@
 """Licence scan: digests of canonical texts, looked up among those of known licences.
 
-Canonical form: lines of copyright are removed, A-Z lower-cased, equivalent spellings unified, all runs of
-other characters than a-z and 0-9 become one blank. Texts with the same canonical form have the
+Canonical form: notices of copyright are removed, A-Z lower-cased, equivalent spellings unified, all runs of
+other characters than a-z and 0-9 become one blank. A notice is a line of at most 200 more characters that begins with
+``copyright`` or its sign and goes on with a year, a placeholder, or the sign and a name, or a paragraph of one line
+that begins with ``Copyright`` and a name; ``All rights reserved`` on the next line belongs to it. A sentence of the licence that
+happens to be wrapped before the word is none, so the form does not depend on line breaks. Texts with the same canonical form have the
 same SHA-256, so whole texts meet the known licences in one hash join. A notice is a single line
 that is the whole of a known text.
 
@@ -25,6 +28,18 @@ SPELLINGS = (
     ("https:", "http:"),
     ("(c)", "copyright"),
 )
+_SIGN = r"(?:\(c\)|©|&copy;)"
+_GAP = r"[ \t,:.]*"
+_DATED = r"(?:(?:19|20)[0-9]{2}|[<\[{])"  # a year, or the placeholder of one
+_REST = r"[^\n]{0,200}(?:\n[^A-Za-z0-9\n]*all rights reserved[^A-Za-z0-9\n]*)?$"
+_WORDS = r"(?:holder|owner|notice|licen[sc]e|law|treat|act\b|interest|statement|permission|and\b|or\b)"
+NOTICES = (
+    rf"(?im)^[^A-Za-z0-9\n]*(?:copyright{_GAP}(?:{_SIGN}{_GAP})?{_DATED}|{_SIGN}{_GAP}(?:copyright{_GAP})?{_DATED}"
+    rf"|copyright{_GAP}{_SIGN}{_GAP}(?!{_WORDS})[^\s]|{_SIGN}{_GAP}copyright{_GAP}(?!{_WORDS})[^\s]|©{_GAP}(?!{_WORDS})[^\s]){_REST}",
+    rf"(?m)(?:\A|(?<=\n[ \t\r]{{0,9}}\n))[^A-Za-z0-9\n]*Copyright (?:by )?(?!(?i:{_WORDS}))[A-Z][^\n]{{0,200}}"
+    r"(?=\s*\z|\n[ \t\r]*\n|\n[^A-Za-z0-9\n]*(?i:all rights reserved)[^A-Za-z0-9\n]*$)(?:\n[^A-Za-z0-9\n]*(?i:all rights reserved)[^A-Za-z0-9\n]*$)?",
+)
+# the SQL keeps its own, coarser pattern: any line that begins with the word
 COPYRIGHT_LINE = r"(?im)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
 KNOWN = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -72,7 +87,9 @@ THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text; empty if nothing is left, null for null."""
-    plain = F.translate(F.regexp_replace(text, COPYRIGHT_LINE, ""), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for notice in NOTICES:
+        text = F.regexp_replace(text, notice, "")
+    plain = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     for spelling, same in SPELLINGS:
         plain = F.replace(plain, F.lit(spelling), F.lit(same))
     return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 
 from edges import edge_docs, no_docs
 
@@ -70,6 +71,31 @@ def test_licence_texts_in_other_spelling_are_found(spark):
     assert got[4].digest == hashlib.sha256(b"text released under the mit license released under the mit license x").hexdigest()
 
 
+def test_licence_texts_do_not_depend_on_line_breaks(spark):
+    notices = ("", "Copyright (c) 2020 Someone\n\n", "(c) Copyright 1999-2020, A. B.\r\nAll rights reserved.\r\n\r\n", "Copyright © Some One\n\n", "Copyright Joyent, Inc. and others.\n\n", " * Copyright <YEAR> <COPYRIGHT HOLDER>\n *\n")
+    rows, wanted = [], {}
+    for name in ("MIT", "ISC", "BSD-2-Clause"):
+        whole = [" ".join(p.split()) for p in KNOWN[name].split("\n\n")]
+        texts = [" ".join(whole), *["\n\n".join(textwrap.fill(p, w) for p in whole) for w in range(50, 121, 2)]]
+        for text in [texts[0], *[n + t for n in notices for t in texts[1:]]]:
+            wanted[len(rows)] = name
+            rows.append((len(rows), text))
+    usual = KNOWN["MIT"].replace("AUTHORS OR\nCOPYRIGHT HOLDERS", "\nAUTHORS OR COPYRIGHT HOLDERS")
+    wanted[len(rows)] = "MIT"
+    rows.append((len(rows), usual))
+    got = {r.doc_id: r.license for r in license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == wanted
+
+
+def test_lines_that_are_no_notice_stay(spark):
+    lines = ("COPYRIGHT HOLDERS BE LIABLE", "copyright owner or entity", "(c) You must retain, in the Source form", "copyright notice 2", "Copyright law", "x copyright 2020")
+    gone = ("copyright 2020 x", "(C) 2020", "© Some One", "Copyright (c) Some One", "// Copyright [yyyy] [name]")
+    rows = [(i, "a\n" + x + "\nb") for i, x in enumerate(lines + gone)]
+    got = {r.doc_id: r.digest for r in license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    bare = hashlib.sha256(b"a b").hexdigest()
+    assert [i for i in got if got[i] == bare] == list(range(len(lines), len(lines + gone)))
+
+
 def test_awkward_documents(spark):
     got = license_scan(edge_docs(spark)).collect()
     assert len(got) == 11
