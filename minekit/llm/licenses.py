@@ -11,10 +11,17 @@ that is the whole of a known text.
 Cases: null texts and texts without a canonical word have no digest and no licence. Repeated rows are all
 reported. Known texts that become empty are left out; if several have one canonical form, the smallest
 id stands for it. Columns beyond ``doc_id`` and ``text`` are ignored.
+
+Known licences: the texts below and those in the folder ``license_texts`` (a file per id), each as it stands, on one line, with and
+without its title, and without what follows the end of its terms; notices are phrases built from ``NAMES`` and ``PHRASES``.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +90,103 @@ THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
     "MIT notice": "Released under the MIT License.",
 }
+# title lines that whole texts may have or lack
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "Apache-2.0": ("Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "BSD License"),
+    "BSL-1.0": ("Boost Software License - Version 1.0 - August 17th, 2003",),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+    "Zlib": ("zlib License", "The zlib License"),
+}
+_BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is
+furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the
+following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the
+Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source
+language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR
+ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING
+FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD_3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+"""
+# names of licences in notices; a name stands alone, with "the", and with "License" behind it
+NAMES = {
+    "0BSD": ("BSD Zero Clause", "0BSD"),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0", "AGPL-3.0", "AGPLv3"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0", "Apache-2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause", "2-Clause BSD", "Simplified BSD"),
+    "BSD-3-Clause": ("BSD 3-Clause", "3-Clause BSD", "New BSD"),
+    "BSL-1.0": ("Boost Software License, Version 1.0", "Boost Software License 1.0", "BSL-1.0"),
+    "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"),
+    **{
+        f"CC-{kind}-{v}": (f"CC {kind} {v}", f"Creative Commons {long} {v}", f"Creative Commons {long} {v} International", f"a Creative Commons {long} {v} International")
+        for kind, long in (
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+        for v in ("3.0", "4.0")
+    },
+    "EPL-2.0": ("Eclipse Public License 2.0", "EPL-2.0"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU General Public License v2.0", "GPL-2.0", "GPLv2"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU General Public License v3.0", "GPL-3.0", "GPLv3"),
+    "ISC": ("ISC",),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "LGPL-2.1", "LGPLv2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "LGPL-3.0", "LGPLv3"),
+    "MIT": ("MIT", "MIT License (MIT)"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL-2.0", "MPL 2.0"),
+    "Unlicense": ("Unlicense",),
+    "Zlib": ("zlib",),
+}
+PHRASES = (
+    "Licensed under", "Released under", "Distributed under", "Available under", "This work is licensed under", "This software is licensed under",
+    "This project is licensed under", "This code is licensed under", "License:", "SPDX-License-Identifier:",
+)
+
+
+def _forms(name: str, text: str) -> list[str]:
+    """A whole text as it stands and in the forms in which it is handed on."""
+    titles = [t for t in TITLES.get(name, ())]
+    out = [text]
+    end = re.search(r"(?m)^.*END OF TERMS AND CONDITIONS.*$", text)
+    if end:
+        out += [text[: end.start()], text[: end.end()]]
+    for title in titles:
+        if re.sub(r"\s+", " ", text).strip().startswith(re.sub(r"\s+", " ", title)):  # also without it
+            out += [re.sub(r"\s*" + r"\s+".join(map(re.escape, title.split())), "", x, count=1) for x in list(out)]
+    if name.startswith("BSD"):
+        out += [re.sub(r"(?m)^\d\. ", "", x) for x in list(out)]
+        out += [x.replace("COPYRIGHT HOLDER OR CONTRIBUTORS", "COPYRIGHT OWNER OR CONTRIBUTORS") for x in list(out)]
+    out += [f"{t}\n\n{x}" for t in titles for x in list(out)]
+    return out + [" ".join(x.split()) for x in out]
+
+
+def known_texts() -> dict[str, list[str]]:
+    """All known texts by id: whole licences in their forms, and notices."""
+    whole = {k: v for k, v in KNOWN.items() if not k.endswith(" notice")} | {"BSL-1.0": _BOOST}
+    whole["BSD-3-Clause"] = whole["BSD-2-Clause"].replace("THIS SOFTWARE IS PROVIDED", _BSD_3 + "THIS SOFTWARE IS PROVIDED")
+    for file in resources.files(__package__).joinpath("license_texts").iterdir():
+        if file.name.endswith(".txt"):
+            whole[file.name[:-4]] = file.read_text("utf-8")
+    out = {name: _forms(name, text) for name, text in whole.items()}
+    for name, text in KNOWN.items():
+        if name.endswith(" notice"):
+            out[name] = [text]
+    for name, names in NAMES.items():
+        called = [f"{the}{x}{end}" for x in (*names, name) for the in ("", "the ") for end in ("", " License")]
+        out.setdefault(f"{name} notice", []).extend(f"{p} {x}" for p in PHRASES for x in called)
+    return out
 
 
 def canonical(text: Column) -> Column:
@@ -95,24 +199,31 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
 
 
-def known_digests(spark: SparkSession, known: dict[str, str]) -> DataFrame:
-    """``digest, license, words_length`` of known texts."""
-    rows = spark.createDataFrame(list(known.items()), "license string, text string")
+def known_digests(spark: SparkSession, known: dict[str, str | list[str]]) -> DataFrame:
+    """``digest, license, form_length, first_word`` of known texts."""
+    texts = [(k, x) for k, v in known.items() for x in ([v] if isinstance(v, str) else v)]
+    rows = spark.createDataFrame(texts, "license string, text string")
     forms = rows.select("license", canonical(F.col("text")).alias("form")).where("form <> ''")
     return forms.groupBy(F.sha2("form", 256).alias("digest")).agg(
-        F.min("license").alias("license"), F.first(F.length("form")).alias("form_length")
+        F.min("license").alias("license"), F.first(F.length("form")).alias("form_length"),
+        F.first(F.substring_index("form", " ", 1)).alias("first_word"),
     )
 
 
-def license_scan(docs: DataFrame, known: dict[str, str] = KNOWN) -> DataFrame:
-    """``doc_id, digest, license, notices`` of every row; ``notices`` joins the ids of the known lines, sorted, by commas."""
-    digests = known_digests(docs.sparkSession, known)
-    listed = digests.collect()  # as many rows as known texts
+def license_scan(docs: DataFrame, known: dict[str, str | list[str]] | None = None) -> DataFrame:
+    """``doc_id, digest, license, notices`` of every row; ``notices`` joins the ids of the known lines, sorted, by commas.
+
+    ``known``: a text or texts by id; by default all of ``known_texts()``.
+    """
+    spark = docs.sparkSession
+    listed = known_digests(spark, known_texts() if known is None else known).collect()  # as many rows as known texts
+    digests = spark.createDataFrame([(r.digest, r.license) for r in listed], "digest string, license string")
     lengths = sorted({r.form_length for r in listed}) or [0]
-    names = F.create_map(*[x for r in listed for x in (F.lit(r.digest), F.lit(r.license))]) if listed else F.create_map().cast("map<string,string>")
+    firsts = sorted({r.first_word for r in listed}) or [""]
+    names = F.from_json(F.lit(json.dumps({r.digest: r.license for r in listed})), "map<string,string>")  # one literal
 
-    # only forms of a known length are digested
-    forms = F.filter(F.transform(F.split("text", "\n"), canonical), lambda x: F.length(x).isin(lengths))
+    # only forms of a known length and first word are digested
+    forms = F.filter(F.transform(F.split("text", "\n"), canonical), lambda x: F.length(x).isin(lengths) & F.substring_index(x, " ", 1).isin(firsts))
     found = F.filter(F.transform(forms, lambda x: F.element_at(names, F.sha2(x, 256))), lambda x: x.isNotNull())
     form = canonical(F.col("text"))
     rows = docs.select(
@@ -120,7 +231,7 @@ def license_scan(docs: DataFrame, known: dict[str, str] = KNOWN) -> DataFrame:
         F.when(form != "", F.sha2(form, 256)).alias("digest"),
         F.coalesce(F.array_join(F.array_sort(F.array_distinct(found)), ","), F.lit("")).alias("notices"),
     )
-    return rows.join(F.broadcast(digests.select("digest", "license")), "digest", "left").select(
+    return rows.join(F.broadcast(digests), "digest", "left").select(
         "doc_id", "digest", "license", "notices"
     )
 

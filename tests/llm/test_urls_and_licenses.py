@@ -6,7 +6,7 @@ import textwrap
 
 from edges import edge_docs, no_docs
 
-from minekit.llm.licenses import KNOWN, license_scan
+from minekit.llm.licenses import KNOWN, known_texts, license_scan
 from minekit.llm.queries import URL_RULES
 from minekit.llm.urlrules import UrlFilter, labelled_pages
 
@@ -96,6 +96,26 @@ def test_lines_that_are_no_notice_stay(spark):
     assert [i for i in got if got[i] == bare] == list(range(len(lines), len(lines + gone)))
 
 
+def test_common_families_are_known(spark):
+    texts = known_texts()
+    for name in "Apache-2.0 BSD-3-Clause BSL-1.0 CC-BY-4.0 CC0-1.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 MPL-2.0 Unlicense Zlib 0BSD".split():
+        assert name in texts
+    whole = {k: v[0] for k, v in texts.items() if not k.endswith(" notice")}
+    rows = [(k, x) for k, v in whole.items() for x in (v, " ".join(v.split()), "Copyright (c) 2021 A. B.\n\n" + v.upper())]
+    apache = whole["Apache-2.0"]
+    rows += [("Apache-2.0", apache[: apache.index("APPENDIX")]), ("Apache-2.0", apache[apache.index("TERMS AND") :]), ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2021 A. B.\n\n" + whole["MIT"])]
+    rows += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2021, A. B.\nAll rights reserved.\n\n" + whole["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "))]
+    got = license_scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.license for r in got} == {i: name for i, (name, _) in enumerate(rows)}
+
+
+def test_other_wordings_of_notices(spark):
+    lines = {"SPDX-License-Identifier: MPL-2.0": "MPL-2.0", "# Distributed under the MIT License.": "MIT", "This project is licensed under the Apache-2.0 license.": "Apache-2.0", "Licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0", "This software is licensed under the GPLv3": "GPL-3.0"}
+    rows = [(i, f"x\n{x}\ny") for i, x in enumerate(lines)]
+    got = {r.doc_id: r.notices for r in license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: f"{x} notice" for i, x in enumerate(lines.values())}
+
+
 def test_awkward_documents(spark):
     got = license_scan(edge_docs(spark)).collect()
     assert len(got) == 11
