@@ -1,6 +1,8 @@
 """Language of documents by Bayesian fusion of several kinds of evidence.
 
-The classes are the declared languages of the training sample and ``und`` for text in none of them.
+The classes are the declared languages of the training texts and ``und`` for text in none of them. Their set comes from all
+rows; each gives its own share of the sample. Beyond ``max_classes`` the languages with fewest rows have no class, nor has one
+without a letter in its sample: their documents are kept on their declared language.
 
 * *Text*: log-likelihood of letter trigrams under a smoothed multinomial per language; ``und`` is uniform. Neighbouring
   trigrams tell the same thing, so the sum is tempered.
@@ -59,6 +61,7 @@ class TextModel:
 
     classes: list[str]
     table: np.ndarray
+    unmodelled: frozenset[str] = frozenset()  # declared in training, without a class
 
     def likelihoods(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Summed log-likelihood of each text (a column per class) and its number of trigrams."""
@@ -81,15 +84,21 @@ class LanguageEvidence:
     threshold: float = 0.5
     unknown_prior: float = 0.01
     max_classes: int = 64
+    max_declared: int = 100_000  # more declared languages are refused
 
     def fit(self, docs: DataFrame) -> TextModel:
         """Trigram counts by declared language, from distinct texts of the sample. ``docs``: text, declared."""
         known = docs.where("text is not null and declared is not null").select("text", "declared")
-        n = known.count()
-        share = min(1.0, self.sample_rows / n) if n else 0.0
         mark = F.xxhash64("text")
-        picked = known.where(F.pmod(F.xxhash64(mark), F.lit(1_000_000)) < int(share * 1_000_000))
-        picked = picked.groupBy(mark.alias("_mark")).agg(F.first("text").alias("text"), F.min("declared").alias("declared"))
+        seen = known.groupBy("declared").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(mark).alias("texts"))
+        listed = seen.orderBy(F.desc("n"), "declared").limit(self.max_declared + 1).collect()
+        if len(listed) > self.max_declared:
+            raise ValueError(f"more than {self.max_declared} declared languages")
+        modelled = listed[: self.max_classes]
+        shares = self._shares({r.declared: (r.n, r.texts) for r in modelled})
+        bounds = known.sparkSession.createDataFrame(list(shares.items()), "declared string, _below bigint")
+        picked = known.join(F.broadcast(bounds), "declared").where(F.pmod(F.xxhash64(mark), F.lit(1_000_000)) < F.col("_below"))
+        picked = picked.groupBy("declared", mark.alias("_mark")).agg(F.first("text").alias("text"))
 
         def count(batches: Iterator[pa.RecordBatch]):
             for batch in batches:
@@ -104,14 +113,26 @@ class LanguageEvidence:
 
         rows = map_batches(picked.select("text", "declared"), count, "declared string, bucket bigint, n bigint")
         sums = settle(rows.groupBy("declared", "bucket").agg(F.sum("n").alias("n")), "trigrams")
-        per = sums.groupBy("declared").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "declared")
-        classes = sorted(r.declared for r in per.limit(self.max_classes).collect())
+        classes = sorted(r.declared for r in sums.select("declared").distinct().collect())
         table = np.full((BUCKETS, len(classes) + 1), self.smoothing)
         place = {c: i for i, c in enumerate(classes)}
-        for r in sums.where(F.col("declared").isin(classes)).toLocalIterator():  # at most buckets x classes
+        for r in sums.toLocalIterator():  # at most buckets x classes
             table[r.bucket, place[r.declared]] += r.n
         table[:, -1] = 1.0
-        return TextModel([*classes, UNKNOWN], np.log(table / table.sum(0)))
+        unmodelled = frozenset(r.declared for r in listed) - set(classes) - {UNKNOWN}
+        return TextModel([*classes, UNKNOWN], np.log(table / table.sum(0)), unmodelled)
+
+    def _shares(self, sizes: dict[str, tuple[int, int]]) -> dict[str, int]:
+        """The millionths of each language's texts to sample, so that no language gives more than an equal part of what is left."""
+        out: dict[str, int] = {}
+        left = self.sample_rows
+        rows = sum(n for n, _ in sizes.values())
+        for i, (name, (n, texts)) in enumerate(sorted(sizes.items(), key=lambda x: (min(x[1]), x[0]))):
+            size = max(1, min(n, texts))
+            part = size if rows <= self.sample_rows else min(size, max(1, left // (len(sizes) - i)))
+            out[name] = -(-1_000_000 * part // size)
+            left -= part
+        return out
 
     def judge(self, docs: DataFrame, model: TextModel) -> DataFrame:
         """``doc_id, mark, lang, text_lang, posterior, kept`` of every row of ``docs``.
@@ -126,7 +147,7 @@ class LanguageEvidence:
             )
         seen = settle(self._read(docs, model), "evidence")
         n = len(model.classes)
-        counts = seen.where("best >= 0")
+        counts = seen.where("best >= 0 and other is null")
 
         def listed(by: list[str], name: str) -> DataFrame:
             sums = [F.sum((F.col("best") == i).cast("bigint")) for i in range(n)]
@@ -167,18 +188,19 @@ class LanguageEvidence:
             declared = F.when(F.col("declared").isNull() | (F.col("declared") < 0), 0.0).otherwise(told)
             return F.col("likelihood")[i] * temper + declared + by_suffix + F.log(in_host)
 
-        scored = judged.select("doc_id", "mark", "best", F.array(*[term(i) for i in range(n)]).alias("logs"))
+        scored = judged.select("doc_id", "mark", "best", "other", F.array(*[term(i) for i in range(n)]).alias("logs"))
         top = F.array_max("logs")
         place = F.array_position("logs", top).cast("int") - 1
         mass = F.aggregate("logs", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.array_max("logs")))
         names = F.array(*[F.lit(c) for c in model.classes])
         known = F.col("best") >= 0
-        lang = F.when(known, F.get(names, place))
-        posterior = F.when(known, 1 / mass)
+        own = known & F.col("other").isNotNull()  # declared in a language without a class
+        lang = F.when(own, F.col("other")).when(known, F.get(names, place))
+        posterior = F.when(known & ~own, 1 / mass)
         return scored.select(
             "doc_id", "mark", lang.alias("lang"), F.when(known, F.get(names, F.col("best"))).alias("text_lang"),
             posterior.alias("posterior"),
-            (known & (lang != UNKNOWN) & (posterior >= self.threshold)).alias("kept"),
+            (known & (own | ((lang != UNKNOWN) & (posterior >= self.threshold)))).alias("kept"),
         )
 
     def _read(self, docs: DataFrame, model: TextModel) -> DataFrame:
@@ -195,6 +217,7 @@ class LanguageEvidence:
                     rows = {c: batch.column(c).slice(first, end - first) for c in ("doc_id", "mark", "suffix", "host", "domain")}
                     yield rows | {
                         "declared": [None if x is None else place.get(x, -1) for x in told],
+                        "other": pa.array([x if x in own.unmodelled else None for x in told], pa.string()),
                         "best": np.where(n > 0, sums.argmax(1), -1),
                         "likelihood": pa.array(list(sums), pa.list_(pa.float64())),
                     }
@@ -204,7 +227,7 @@ class LanguageEvidence:
             F.regexp_extract("host", r"([^.]+\.[^.]+|[^.]+)$", 1).alias("domain"),
         )
         schema = (
-            "doc_id bigint, mark bigint, suffix string, host string, domain string, declared int, best int, "
+            "doc_id bigint, mark bigint, suffix string, host string, domain string, declared int, other string, best int, "
             "likelihood array<double>"
         )
         return map_batches(rows, read, schema)

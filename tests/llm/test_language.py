@@ -53,6 +53,23 @@ def test_text_in_no_known_language_is_rejected(spark):
     assert kept.lang == "und" and not kept.kept
 
 
+def test_rare_languages_are_not_lost(spark):
+    common = [(i, t, lang) for i, t, lang in rows(3000)]
+    rare = [(9000 + i, " ".join("зщжфыэъюяцчшщ"[(i + j) % 9 : (i + j) % 9 + 4] for j in range(20)), "ru") for i in range(3)]
+    docs = spark.createDataFrame(common + rare, "doc_id bigint, text string, declared string")
+    known = docs.withColumn("suffix", F.lit(None).cast("string")).withColumn("host", F.lit(None).cast("string"))
+    sampled = LanguageEvidence(sample_rows=100)
+    model = sampled.fit(docs)
+    assert model.classes == ["de", "en", "fr", "ru", "und"] and not model.unmodelled
+    got = sampled.judge(known, model).where("doc_id >= 9000").collect()
+    assert len(got) == 3 and all(r.lang == "ru" and r.kept for r in got)
+    few = LanguageEvidence(max_classes=3)
+    model = few.fit(docs)
+    assert model.classes == ["de", "en", "fr", "und"] and model.unmodelled == {"ru"}
+    got = few.judge(known, model).where("doc_id >= 9000").collect()
+    assert len(got) == 3 and all(r.lang == "ru" and r.kept for r in got)
+
+
 def test_pages_give_evidence(spark):
     pages = spark.createDataFrame(
         [
