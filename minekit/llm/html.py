@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 from minekit.llm.batches import bounded_batches, map_batches
 
 PIECE = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[A-Za-z][^>]*$", re.S
+    r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"'=]++|=\s*+\"[^\"]*\"|=\s*+'[^']*'|[=\"'])*+)>|</?[A-Za-z][^>]*$", re.S
 )
 SPACE = re.compile(r"\s+")
 ATTRIBUTE = re.compile(r"""(class|id|role|data-y)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 # fixed values: kinds of elements, and words that sites use in class, id and role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template svg iframe object textarea select button head title math canvas".split())
+RAW = frozenset("script style iframe textarea title head".split())  # skipped to the closing tag, else to the end of the page
+HIDDEN = frozenset("noscript template svg select button".split())  # elements whose text is left out
 INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split()
 )
@@ -100,7 +101,8 @@ def parse(page: str) -> Tree:
     """The tree of a page."""
     tree = Tree()
     root = tree.add(-1, "body")
-    stack: list[tuple[str, int]] = [("body", root)]  # open blocks
+    stack: list[tuple[str, int, bool]] = [("body", root, False)]  # open blocks; whether text is left out
+    unclosed: set[str] = set()
     inline_links = 0
     parts: list[str] = []
     linked = 0
@@ -110,7 +112,7 @@ def parse(page: str) -> Tree:
         nonlocal linked
         if parts:
             text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
-            if text:
+            if text and not stack[-1][2]:
                 tree.add(stack[-1][1], "#text", text=text, linked=min(linked, len(text)))
             parts.clear()
         linked = 0
@@ -131,7 +133,7 @@ def parse(page: str) -> Tree:
         if not tag:
             continue
         closing = bool(found.group(1))
-        if tag in HIDDEN and not closing:
+        if tag in RAW and not closing:
             if not found.group(3).endswith("/"):
                 shut = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 if tag == "head" and not shut:
@@ -146,6 +148,14 @@ def parse(page: str) -> Tree:
             if tag == "br":
                 parts.append(" ")
             continue
+        hides = tag in HIDDEN and not closing
+        if hides:
+            if found.group(3).endswith("/"):
+                continue
+            if tag not in unclosed and not re.compile(rf"</{tag}\s*>", re.I).search(page, at):
+                unclosed.add(tag)
+            if tag in unclosed:  # nothing tells where it ends, so its text stays
+                continue
         flush()
         if closing:
             for depth in range(len(stack) - 1, 0, -1):
@@ -162,7 +172,8 @@ def parse(page: str) -> Tree:
             continue
         words, mark = _names(found.group(3)) if found.group(3) else (frozenset(), -1)
         inline_links = 0
-        stack.append((tag, tree.add(stack[-1][1], tag, words, mark)))
+        away = hides or stack[-1][2]
+        stack.append((tag, stack[-1][1] if away else tree.add(stack[-1][1], tag, words, mark), away))
     flush()
     return tree
 

@@ -72,6 +72,21 @@ def test_white_space_references_and_unclosed_markup(fitted):
     assert fitted.extract([html]) == ["A&B x\nFirst <b> bold text, that goes on for a while.\nSecond line, été and more of it."]
 
 
+def test_no_text_is_lost_to_unclosed_elements_and_lone_quotes():
+    def texts(page):
+        return [t for t in parse(page).text if t is not None]
+
+    for tag in "button select object canvas svg math".split():
+        assert texts(f"<article><p>one</p><{tag}><p>two</p></article><p>three</p>") == ["one", "two", "three"]
+    for tag in ("math", "object", "canvas"):
+        assert texts(f"<article><{tag}>one</{tag}></article>") == ["one"]
+    for tag in "button select svg script style noscript template".split():
+        assert texts(f"<p>a</p><{tag}>one</{tag}><p>b</p>") == ["a", "b"]
+    assert texts("<p title=Don't>one</p><p>two isn't</p>") == ["one", "two isn't"]
+    assert texts("<p title='a>b' class=\"c>d\">one</p>") == ["one"]
+    assert texts("<p " + 'a="b" ' * 200) == []
+
+
 def test_awkward_rows(spark, fitted):
     long = "<article>" + f"<p>{TEXT}</p>" * 3000 + "</article>"
     rows = [(1, None, None), (2, "u", ""), (3, "u", "<!-- only"), (4, "u", long), (4, "u", long), (None, "u", "<nav>x</nav>")]
