@@ -313,6 +313,12 @@ def similar_pairs_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(through_text(best, writers.pair_line(), "pairs")).select(F.col("value").alias("line"))
 
 
+@query
+def similar_pairs_above(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs at a Jaccard similarity of 80 % and more, without bands."""
+    return SEARCH.above(views.docs(spark, sf_dir), 80)
+
+
 # --- labelled rows --------------------------------------------------------------------------------
 
 

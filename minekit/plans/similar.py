@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from minekit.functions.skew import BLOCK_COST
+from minekit.functions.skew import BLOCK_COST, balanced_join
 from minekit.functions.storage import settle, spread
 from minekit.operators.minhash import MinHash, list_signatures
 from minekit.operators.pairs import candidate_pairs, pair_similarity, signature_groups, top_pairs
+from minekit.operators.setjoin import similar_sets
 from minekit.operators.text import doc_shingles, doc_tokens, shingle_id_lists, shingle_ids
 
 
@@ -57,3 +59,31 @@ class SimilarDocuments:
         """The ``k`` most similar document pairs."""
         signatures = settle(self.signatures(docs), "signatures")
         return top_pairs(self.similarities(self.groups(signatures)), signatures, k)
+
+    def set_groups(self, docs: DataFrame) -> DataFrame:
+        """Stored ``id, items, n_docs``: the distinct shingle sets, each named by its smallest document."""
+        lists = shingle_id_lists(self.tokens(docs), self.k, self.id_method)
+        sets = lists.select("doc_id", F.array_sort(F.array_distinct("ids")).alias("items")).where(F.size("items") > 0)
+        grouped = sets.groupBy("items").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n_docs"))
+        return settle(grouped.select("id", "items", "n_docs"), "sets")
+
+    def above(self, docs: DataFrame, percent: int = 80) -> DataFrame:
+        """``a, b, shared, similarity, n_pairs``: all pairs with an exact Jaccard similarity of ``percent`` or more.
+
+        No bands and no signatures: nothing is missed. As elsewhere ``a`` and ``b`` name documents with distinct sets, ``a = b`` stands
+        for the pairs inside one group of copies, and ``n_pairs`` counts the pairs of documents.
+        """
+        groups = self.set_groups(docs)
+        found = similar_sets(groups.select("id", "items"), percent, self.block_cost)
+        sizes = groups.select("id", "n_docs")
+        pairs = balanced_join(found, sizes.toDF("a", "docs_a"), ["a"], ["b"], block_cost=self.block_cost)
+        pairs = balanced_join(pairs, sizes.toDF("b", "docs_b"), ["b"], ["a"], block_cost=self.block_cost)
+        union = F.col("n_a") + F.col("n_b") - F.col("shared")
+        between = pairs.select(
+            "a", "b", "shared", (F.col("shared") / union).alias("similarity"), (F.col("docs_a") * F.col("docs_b")).alias("n_pairs")
+        )
+        inside = groups.where("n_docs > 1").select(
+            F.col("id").alias("a"), F.col("id").alias("b"), F.size("items").alias("shared"), F.lit(1.0).alias("similarity"),
+            F.expr("n_docs * (n_docs - 1) div 2").alias("n_pairs"),
+        )
+        return between.unionByName(inside)
