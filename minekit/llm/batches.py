@@ -10,6 +10,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,6 +67,11 @@ def filter_batches(df: DataFrame, function) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
+def fresh_name() -> str:
+    """A column name that no table has."""
+    return f"_{uuid.uuid4().hex}"
+
+
 def release_memory() -> None:
     """Give memory that is no longer used back to the system: workers outlive their tasks and share a machine."""
     gc.collect()
@@ -90,7 +96,8 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     filled = column.fill_null("")
     _, places, data = filled.buffers()
     n = len(filled)
-    offsets = np.frombuffer(places, np.int32)[filled.offset : filled.offset + n + 1].astype(np.int64)
+    wide = pa.types.is_large_string(filled.type) or pa.types.is_large_binary(filled.type)
+    offsets = np.frombuffer(places, np.int64 if wide else np.int32)[filled.offset : filled.offset + n + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:

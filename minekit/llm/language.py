@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minekit.functions.storage import settle
-from minekit.llm.batches import map_batches, text_slices
+from minekit.llm.batches import fresh_name, map_batches, text_slices
 
 BUCKETS = 1 << 15
 UNKNOWN = "und"
@@ -236,9 +236,10 @@ class LanguageEvidence:
         """The rows of ``docs`` (doc_id, text, more) that are kept, judged by ``evidence`` over the same rows."""
         rejected = settle(self.judge(evidence, model).where("not kept").select("doc_id", "mark").distinct(), "rejected")
         few = rejected.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        names = [F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")]
+        doc_id, mark = fresh_name(), fresh_name()
+        names = [F.col("doc_id").alias(doc_id), F.col("mark").alias(mark)]
         away = F.broadcast(rejected.select(*names)) if few else rejected.select(*names)
-        same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
+        same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(mark))
         return docs.join(away, same, "left_anti")
 
 

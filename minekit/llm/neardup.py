@@ -11,8 +11,9 @@ A document is the set of its distinct word shingles. The steps:
 3. Each class is paired with the smallest class that it shares a bucket with, then, where that leaves it
    unconnected, with the smallest class of every bucket. Pairs whose sketches differ too much are dropped, the
    others are confirmed on the full sets.
-4. Classes of one bucket that are not yet connected after that are paired with each other, so that no link
-   between different texts is lost that the bands show; links inside a component add nothing.
+4. Classes of one bucket that are not yet connected after that are paired where they share one of their rarest shingles (an exact
+   prefix filter), so that no link between different texts is lost that the bands show; the sketches
+   judge these pairs too. Links inside a component add nothing.
 5. The components of all confirmed links are found by passing on minima with path shortening.
 
 Sets are compared as sets of 64-bit hashes of shingles.
@@ -34,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from minekit.functions.skew import balanced_join
 from minekit.functions.storage import Stored, settle, stored
-from minekit.llm.batches import SPACES, Words, map_batches, mixed, text_slices
+from minekit.llm.batches import SPACES, Words, fresh_name, map_batches, mixed, text_slices
+from minekit.operators.setjoin import prefix_candidates
 
 SKETCH_WORDS = 16  # 1024 bits
 BINS = (16384, 512)
@@ -63,22 +64,28 @@ class NearDuplicates:
     seed: int = 7
 
     def signatures(self, docs: DataFrame) -> DataFrame:
-        """``doc_id, n_shingles, k1, k2, bands, sketch, n_samples`` of every row; ``k1, k2`` name the whole set."""
+        """``doc_id, mark, n_shingles, k1, k2, bands, sketch, n_samples`` of every row.
+
+        ``k1, k2`` name the whole set, ``mark`` hashes the text.
+        """
         k, bands, rows, seed = self.shingle, self.bands, self.rows, self.seed
 
         def sign(batches: Iterator[pa.RecordBatch]):
             words, family = Words(SPACES), _Family(bands, rows, seed)
             for batch in batches:
-                ids = batch.column("doc_id")
                 for first, end, raw, offsets in text_slices(batch.column("text")):
                     sets, bounds = shingle_sets(words, raw, offsets, k)
                     columns = family.sign(sets, bounds)
-                    columns["doc_id"] = ids.slice(first, end - first)
+                    for name in ("doc_id", "mark"):
+                        columns[name] = batch.column(name).slice(first, end - first)
                     columns["n_shingles"] = np.diff(bounds)
                     yield columns
 
-        schema = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, sketch array<bigint>, n_samples array<int>"
-        return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), sign, schema)
+        schema = (
+            "doc_id bigint, mark bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, sketch array<bigint>, "
+            "n_samples array<int>"
+        )
+        return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("mark")), sign, schema)
 
     def sets(self, docs: DataFrame) -> DataFrame:
         """``rep, shingles`` with the full hashed set of each document."""
@@ -97,6 +104,9 @@ class NearDuplicates:
 
     def components(self, docs: DataFrame) -> DataFrame:
         """``doc_id, n_shingles, component_id, kept`` of every row."""
+        return self._judged(docs).drop("mark")
+
+    def _judged(self, docs: DataFrame) -> DataFrame:
         signed = settle(self.signatures(docs), "signatures")
         keys = ["k1", "k2", "n_shingles"]
         classes = (
@@ -113,28 +123,31 @@ class NearDuplicates:
 
         named = reps.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("rep").alias("_rep"))
         same = [F.col(c) == F.col(f"_{c}") for c in keys]
-        found = signed.select("doc_id", *keys).join(named, same, "left")
+        found = signed.select("doc_id", "mark", *keys).join(named, same, "left")
         names = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
         placed = found.join(names, F.col("_rep") == F.col("_node"), "left")
         known = F.col("doc_id").isNotNull()
         component = F.when(known, F.coalesce("_label", "_rep", "doc_id"))
         return placed.select(
-            "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+            "doc_id", "mark", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
         )
 
     def deduplicated(self, docs: DataFrame) -> DataFrame:
         """The rows of ``docs``, with all their columns, without all but one document of each component.
 
-        Rows that share a ``doc_id`` are copies; any one of them stays. Rows without one all stay.
+        Rows that share ``doc_id`` and text are copies; any one of them stays. Rows of one ``doc_id`` with unlike texts are judged
+        each by its own text, so no text is lost. Rows without ``doc_id`` all stay.
         """
-        judged = settle(self.components(docs), "components").where("doc_id is not null")
-        away = settle(judged.where("not kept").select("doc_id").distinct(), "copies")
-        repeated = settle(judged.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-        kept = _without(docs, away)
+        judged = settle(self._judged(docs), "components").where("doc_id is not null")
+        rows = judged.groupBy("doc_id", "mark").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+        settled = settle(rows.where("not kept or n > 1"), "copies")
+        away, repeated = settled.where("not kept"), settled.where("kept")
+        kept = _matching(docs, away, "left_anti")
         if repeated.isEmpty():
             return kept
-        once = kept.join(repeated.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left_semi")
-        return _without(kept, repeated).unionByName(once.dropDuplicates(["doc_id"]))
+        mark = fresh_name()
+        once = _matching(kept, repeated, "left_semi").withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark])
+        return _matching(kept, repeated, "left_anti").unionByName(once.drop(mark))
 
     def _links(self, docs: DataFrame, reps: DataFrame) -> DataFrame:
         """``a, b`` for confirmed links that connect the classes."""
@@ -155,29 +168,15 @@ class NearDuplicates:
         more = settle(self._close(open_star, reps), "near")
         sure = settle(sure.unionByName(self._confirm(more, docs)), "links")
 
-        # members of a bucket that are still apart
+        # members of a bucket that are still apart meet through their rarest shingles only
         node = connected(sure).select(F.col("node").alias("rep"), "label")
         parts = members.join(node, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("part"))
-        sizes = parts.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
-        apart = sizes.groupBy("bucket").agg(F.max_by("part", "n").alias("major"), F.count(F.lit(1)).alias("n"))
-        apart = parts.join(apart.where("n > 1").select("bucket", "major"), "bucket")
-        rest = settle(apart.join(reps.select("rep", "n_shingles", "sketch", "n_samples"), "rep"), "apart")
-        # the largest part of a bucket meets the others only, never itself
-        minor = rest.where("part <> major").select("bucket", *_side("a"))
-        every = rest.select("bucket", *_side("b"))
-        close = (
-            balanced_join(minor, every, ["bucket"], ["a"], ["b"])
-            .where("part_a <> part_b")
-            .where(self._allowed())
-            .select(
-                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-                F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"),
-            )
-            .distinct()
-        )
+        split = parts.groupBy("bucket").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low < _high")
+        apart = settle(parts.join(split.select("bucket"), "bucket").select("rep", "part").distinct(), "apart")
+        sets = self._sets_of(apart.select("rep"), docs).join(apart, "rep").select(F.col("rep").alias("id"), "part", F.col("shingles").alias("items"))
+        met = settle(prefix_candidates(settle(sets, "apart-sets"), self.percent), "candidates")
         tested = near.select("a", "b").union(more.select("a", "b"))
-        last = settle(close.join(tested, ["a", "b"], "left_anti"), "near")
+        last = settle(self._close(met.join(tested, ["a", "b"], "left_anti"), reps), "near")
         return settle(sure.unionByName(self._confirm(last, docs)), "links")
 
     def _allowed(self) -> Column:
@@ -213,13 +212,17 @@ class NearDuplicates:
         both = both.join(side.toDF("b", "sketch_b", "n_b", "samples_b"), "b")
         return both.where(self._allowed()).select("a", "b", "n_a", "n_b")
 
+    def _sets_of(self, ids: DataFrame, docs: DataFrame) -> DataFrame:
+        """``rep, shingles`` of the classes that the stored ``ids`` (``rep``) name."""
+        wanted = ids.distinct()
+        if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)  # a number a row
+        texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").where("text is not null")
+        return settle(self.sets(texts.join(wanted, "rep", "left_semi")).dropDuplicates(["rep", "shingles"]), "sets")
+
     def _confirm(self, near: DataFrame, docs: DataFrame) -> DataFrame:
         """The pairs of the stored ``near`` whose full sets are similar enough."""
-        wanted = near.select(F.col("a").alias("rep")).union(near.select("b")).distinct()
-        if near.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)  # two numbers a row
-        texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").where("text is not null")
-        sets = settle(self.sets(texts.join(wanted, "rep", "left_semi")).dropDuplicates(["rep", "shingles"]), "sets")
+        sets = self._sets_of(near.select(F.col("a").alias("rep")).union(near.select("b")), docs)
         left = sets.toDF("a", "_xa")
         both = near.join(left, "a").join(sets.toDF("b", "_xb"), "b")
         shared = F.size(F.array_intersect("_xa", "_xb"))
@@ -227,17 +230,13 @@ class NearDuplicates:
         return both.where(enough).select("a", "b").distinct()
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    named = ids.withColumnRenamed("doc_id", "_id")
-    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(named) if few else named, F.col("doc_id") == F.col("_id"), "left_anti")
-
-
-def _side(name: str) -> list[Column]:
-    return [
-        F.col("rep").alias(name), F.col("part").alias(f"part_{name}"), F.col("n_shingles").alias(f"n_{name}"),
-        F.col("sketch").alias(f"sketch_{name}"), F.col("n_samples").alias(f"samples_{name}"),
-    ]
+def _matching(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` that have (``left_semi``) or have not a row in the stored ``marks`` (doc_id, mark)."""
+    doc_id, mark = fresh_name(), fresh_name()
+    named = marks.select(F.col("doc_id").alias(doc_id), F.col("mark").alias(mark))
+    few = marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    same = (F.col("doc_id").cast("bigint") == F.col(doc_id)) & (F.xxhash64("text") == F.col(mark))
+    return docs.join(F.broadcast(named) if few else named, same, how)
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ WORDS = "the of and thing other water stone light early river mountain garden wi
 LONG = " ".join(WORDS[i * i % 14] + str(i % 97) for i in range(40_000))
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, _hash bigint, rep bigint, bucket bigint, "
-    "score double, rank int, length bigint, word string, best int, host string, node bigint, label bigint"
+    "score double, rank int, length bigint, word string, best int, host string, node bigint, label bigint, _id bigint, _mark bigint, mark bigint, part int, items int"
 )
 ROWS = [
     (1, None, "en", "s"),
@@ -22,7 +22,7 @@ ROWS = [
 
 
 def edge_docs(spark):
-    rows = [(*r, 0, None, 1, 2, 0.5, 1, 9, "w", 3, "h", 4, 5) for r in ROWS]
+    rows = [(*r, 0, None, 1, 2, 0.5, 1, 9, "w", 3, "h", 4, 5, 6, 7, 8, 9, 10) for r in ROWS]
     return spark.createDataFrame(rows, SCHEMA)
 
 

@@ -78,3 +78,29 @@ def test_awkward_rows(spark):
 def test_no_rows(spark):
     assert NearDuplicates().components(no_docs(spark)).collect() == []
     assert NearDuplicates().deduplicated(no_docs(spark)).collect() == []
+
+
+def test_one_id_with_unlike_texts_loses_none(spark):
+    first, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(2, first), (5, first), (5, other), (5, other), (7, None)], "doc_id bigint, text string")
+    kept = NearDuplicates(shingle=2).deduplicated(docs).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(2, first), (5, other), (7, "")]
+
+
+def near_group(own, copies, seed=3):
+    """A text of 150 words and copies of it, each with ``own`` words at its end that nobody else has."""
+    draw = random.Random(seed)
+    words = [f"w{draw.randint(0, 10_000)}" for _ in range(150)]
+    return [(0, " ".join(words))] + [
+        (i, " ".join(words[: 150 - own] + [f"own{i}x{j}" for j in range(own)])) for i in range(1, copies + 1)
+    ]
+
+
+def test_groups_just_below_and_just_above_the_threshold(spark):
+    # 149 pairs of words: 132 shared of 166 are 79.5 %, 133 of 165 are 80.6 %
+    for own, linked in ((17, False), (16, True)):
+        rows = near_group(own, 120)
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in NearDuplicates(shingle=2).components(docs).collect()}
+        assert got == brute(rows, 2)
+        assert all((c == 0) == linked for d, (_, c) in got.items() if d)
