@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minekit.checks.views import table
+from minekit.llm.collocations import Collocations
+from minekit.llm.collocations import oracle as collocation_oracle
 from minekit.llm.decontamination import Decontamination
 from minekit.llm.html import PageText
 from minekit.llm.language import LanguageEvidence, page_evidence
@@ -17,6 +19,7 @@ from minekit.llm.licenses import license_scan
 from minekit.llm.licenses import oracle as license_oracle
 from minekit.llm.neighbours import LearnedPartitions
 from minekit.llm.packing import Packing
+from minekit.llm.periods import PeriodicRuns
 from minekit.llm.records import token_records
 from minekit.llm.toxicity import Toxicity
 from minekit.llm.urlrules import Listed, UrlFilter, labelled_pages
@@ -92,7 +95,49 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def planted_repetitions(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; the texts of about a tenth of all ids, chosen by checksum, repeat a stretch of words up to their end.
+
+    Word ``i >= a`` becomes word ``a + (i - a) % p`` there; such texts come back with one blank between words.
+    """
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")
+    mark = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", mark.alias("h"))
+    chosen = chosen.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w").cast("bigint"))
+    chosen = chosen.withColumn("g", F.expr("h div 10")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    chosen = chosen.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    at = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    repeated = F.array_join(F.transform(at, lambda i: F.get("w", i.cast("int"))), " ")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def runs_digest(found: DataFrame) -> DataFrame:
+    """The longest run of each row, and digests of all runs and of the collapsed text."""
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of all documents, a tenth of them with planted repetitions."""
+    return runs_digest(PeriodicRuns().run(planted_repetitions(table(spark, sf_dir, "documents"))))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language."""
+    return Collocations().run(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_language_id, op9_packing, op10_license_scan)
+    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_language_id, op9_packing, op10_license_scan, op11_periodic_runs, op13_collocations)
 }
-ORACLES: dict[str, str] = {"op10_license_scan": license_oracle()}
+ORACLES: dict[str, str] = {"op10_license_scan": license_oracle(), "op13_collocations": collocation_oracle()}
