@@ -13,6 +13,8 @@ from minekit.llm.collocations import Collocations
 from minekit.llm.collocations import oracle as collocation_oracle
 from minekit.llm.decontamination import Decontamination
 from minekit.llm.html import PageText
+from minekit.llm.jaccardjoin import JaccardJoin
+from minekit.llm.jaccardjoin import oracle as join_oracle
 from minekit.llm.language import LanguageEvidence, page_evidence
 from minekit.llm.neardup import NearDuplicates
 from minekit.llm.licenses import license_scan
@@ -132,12 +134,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_digest(PeriodicRuns().run(planted_repetitions(table(spark, sf_dir, "documents"))))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 80 % of their 5-word shingles."""
+    return JaccardJoin(shingle=5, percent=80).components(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 best phrases of each language."""
     return Collocations().run(table(spark, sf_dir, "documents").select("lang", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_language_id, op9_packing, op10_license_scan, op11_periodic_runs, op13_collocations)
+    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_language_id, op9_packing, op10_license_scan, op11_periodic_runs, op12_jaccard_join, op13_collocations)
 }
-ORACLES: dict[str, str] = {"op10_license_scan": license_oracle(), "op13_collocations": collocation_oracle()}
+ORACLES: dict[str, str] = {"op10_license_scan": license_oracle(), "op12_jaccard_join": join_oracle(), "op13_collocations": collocation_oracle()}

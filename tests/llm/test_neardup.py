@@ -10,7 +10,7 @@ from minekit.llm.neardup import NearDuplicates
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
 
-def brute(rows, k):
+def brute(rows, k, percent=80):
     sets = {}
     for doc_id, text in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
@@ -24,7 +24,7 @@ def brute(rows, k):
     for i, a in enumerate(ids):
         for b in ids[:i]:
             x, y = sets[a], sets[b]
-            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 p, q = find(a), find(b)
                 parent[max(p, q)] = min(p, q)
     return {d: (len(sets[d]), find(d)) for d in ids}
