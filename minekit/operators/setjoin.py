@@ -37,9 +37,10 @@ def needed_together(m: Column, n: Column, percent: int) -> Column:
 
 
 def rare_prefixes(sets: DataFrame, percent: int, block_cost: int = BLOCK_COST) -> DataFrame:
-    """``id, part, n, pos, item`` for the shared items in the long prefix of each set, rarest first.
+    """``id, part, n, own, pos, item`` for the shared items in the long prefix of each set, rarest first.
 
-    ``sets`` has ``id, part, items``. ``pos`` counts all items of the set that come earlier, items of one part included. The
+    ``sets`` has ``id, part, items``. ``own`` counts the items of the set that no other part holds; ``pos`` counts all items
+    of the set that come earlier, those included. The
     shuffle carries one row per item of a set; a set is gathered in one row, as it came.
     """
     rows = sets.select("id", "part", F.size("items").alias("n"), F.explode("items").alias("item"))
@@ -56,8 +57,8 @@ def rare_prefixes(sets: DataFrame, percent: int, block_cost: int = BLOCK_COST) -
     own = F.col("n") - F.size("_list")
     room = F.greatest(F.col("n") - needed(F.col("n"), percent) + 1 - own, F.lit(0)).cast("int")
     return lists.select(
-        "id", "part", "n", own.alias("_own"), F.posexplode(F.slice("_list", F.lit(1), room)).alias("_at", "_entry")
-    ).select("id", "part", "n", (F.col("_own") + F.col("_at")).cast("int").alias("pos"), F.col("_entry.item").alias("item"))
+        "id", "part", "n", own.alias("own"), F.posexplode(F.slice("_list", F.lit(1), room)).alias("_at", "_entry")
+    ).select("id", "part", "n", "own", (F.col("own") + F.col("_at")).cast("int").alias("pos"), F.col("_entry.item").alias("item"))
 
 
 def prefix_candidates(sets: DataFrame, percent: int, block_cost: int = BLOCK_COST) -> DataFrame:
