@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from minekit.checks import views
 from minekit.checks.settings import CANDIDATES, KMEANS_STEPS, MIN_LEAF, RANK_STEPS, SEARCH, TOP
 from minekit.functions.storage import fresh_path, settle
-from minekit.operators import cluster, features, graph, matrix, minhash, pairs, splits, text, tree
-from minekit.plans.decision_tree import DecisionTree, library_accuracy, search_splits
+from minekit.operators import cluster, codes, features, graph, matrix, minhash, pairs, splits, text, tree
+from minekit.plans.decision_tree import DecisionTree, feature_splits, level_candidates, library_accuracy, search_splits
 from minekit.plans.kmeans import KMeans, KMeansFit, compare_runs, cost_changes
 from minekit.plans.pagerank import PageRank, load_ranks, save_ranks
 from minekit.sources import readers, writers
@@ -378,7 +378,13 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def at_root(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors(spark, sf_dir).withColumn("node_id", F.lit(1).cast("bigint"))
+    return vectors(spark, sf_dir).withColumn("node_id", F.lit(tree.ROOT))
+
+
+def numbered(nodes: DataFrame) -> DataFrame:
+    """Nodes by number instead of path."""
+    names = [c for c in ("node_id", "left", "right") if c in nodes.columns]
+    return nodes.withColumns({c: tree.node_number(F.col(c)) for c in names})
 
 
 @query
@@ -387,39 +393,46 @@ def node_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = settle(at_root(spark, sf_dir), "rows")
     sides = tree.split_rows(rows, search_splits(rows, CANDIDATES))
     nodes = rows.select("node_id", "label").unionByName(sides.select("node_id", "label"))
-    return splits.node_entropy(nodes).select("node_id", "n", "n_pos", places("entropy", 9))
+    return numbered(splits.node_entropy(nodes)).select("node_id", "n", "n_pos", places("entropy", 9))
+
+
+def coded_root(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, codes.Coded]:
+    coded = codes.code_values(vectors(spark, sf_dir))
+    return coded.rows.withColumn("node_id", F.lit(tree.ROOT)), coded
 
 
 @query
 def split_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splits.split_candidates(splits.value_counts(at_root(spark, sf_dir)), CANDIDATES)
+    rows, coded = coded_root(spark, sf_dir)
+    found = coded.with_values(level_candidates(rows, coded, CANDIDATES))
+    return numbered(found).select("node_id", "feature", "value", "left_n", "left_pos", "n", "n_pos")
 
 
 @query
 def split_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gains = splits.split_gains(splits.split_candidates(splits.value_counts(at_root(spark, sf_dir)), CANDIDATES))
-    return gains.select("node_id", "feature", "value", places("gain", 9))
+    rows, coded = coded_root(spark, sf_dir)
+    gains = splits.split_gains(coded.with_values(level_candidates(rows, coded, CANDIDATES)))
+    return numbered(gains).select("node_id", "feature", "value", places("gain", 9))
 
 
 def per_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = splits.value_counts(at_root(spark, sf_dir))
-    return splits.best_split_per_feature(splits.split_gains(splits.split_candidates(counts, CANDIDATES)))
+    return feature_splits(*coded_root(spark, sf_dir), CANDIDATES)
 
 
 @query
 def best_split_per_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return per_feature(spark, sf_dir).select("node_id", "feature", "split", places("gain", 9))
+    return numbered(per_feature(spark, sf_dir)).select("node_id", "feature", "split", places("gain", 9))
 
 
 @query
 def best_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splits.best_split(per_feature(spark, sf_dir)).select("node_id", "feature", "split", places("gain", 9))
+    return numbered(splits.best_split(per_feature(spark, sf_dir))).select("node_id", "feature", "split", places("gain", 9))
 
 
 @query
 def tree_split_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = settle(at_root(spark, sf_dir), "rows")
-    return tree.split_rows(rows, search_splits(rows, CANDIDATES)).select("row_id", "node_id")
+    return numbered(tree.split_rows(rows, search_splits(rows, CANDIDATES))).select("row_id", "node_id")
 
 
 def grown(rows: DataFrame) -> DataFrame:
@@ -428,7 +441,7 @@ def grown(rows: DataFrame) -> DataFrame:
 
 @query
 def decision_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = grown(vectors(spark, sf_dir))
+    nodes = numbered(grown(vectors(spark, sf_dir)))
     return nodes.select(
         "node_id",
         "depth",
@@ -445,7 +458,7 @@ def decision_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def leaf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree.leaf_predictions(grown(vectors(spark, sf_dir)))
+    return numbered(tree.leaf_predictions(grown(vectors(spark, sf_dir))))
 
 
 @query
@@ -461,7 +474,7 @@ def parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query
 def tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = parts(spark, sf_dir)
-    return tree.tree_predictions(test, grown(train))
+    return numbered(tree.tree_predictions(test, grown(train)))
 
 
 @query

@@ -9,100 +9,132 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minekit.functions.columns import majority
-from minekit.functions.storage import settle, spread
+from minekit.functions.storage import Stored, settle, stored
+from minekit.operators.codes import Coded, code_values
 from minekit.operators.features import lookup_join
 from minekit.operators.splits import (
     best_split,
     best_split_per_feature,
+    coded_candidates,
     node_entropy,
     split_candidates,
     split_gains,
     value_counts,
 )
-from minekit.operators.tree import accuracy, split_rows
+from minekit.operators.tree import ROOT, accuracy, child
+
+STORE_LEVELS = 4
+
+
+def level_candidates(routed: DataFrame, coded: Coded, candidates: int) -> DataFrame:
+    """``node_id, feature, code, left_n, left_pos, n, n_pos`` of all nodes of ``routed`` (node_id, row_id, codes, label)."""
+    if candidates > 0:
+        return coded_candidates(routed, candidates, coded.widest)
+    # every value is a candidate
+    long = value_counts(routed.withColumnRenamed("codes", "features"))
+    return split_candidates(long, 0).withColumnRenamed("value", "code")
+
+
+def feature_splits(routed: DataFrame, coded: Coded, candidates: int = 10) -> DataFrame:
+    """``node_id, feature, code, split, gain, left_n, left_pos, n, n_pos``: the best split of every node and feature."""
+    gains = split_gains(level_candidates(routed, coded, candidates)).withColumnRenamed("code", "value")
+    return coded.with_values(best_split_per_feature(gains).withColumnRenamed("split", "code")).withColumnRenamed("value", "split")
 
 
 def search_splits(rows: DataFrame, candidates: int = 10) -> DataFrame:
-    """Best split of every node in ``rows``."""
-    gains = split_gains(split_candidates(value_counts(rows), candidates))
-    return best_split(best_split_per_feature(gains))
+    """Best split of every node in ``rows`` (node_id, row_id, features, label)."""
+    coded = code_values(rows)
+    nodes = rows.select("row_id", "node_id")
+    return best_split(feature_splits(coded.rows.join(nodes, "row_id"), coded, candidates))
 
 
 @dataclass(frozen=True)
 class DecisionTree:
-    """Settings: nodes up to ``min_leaf`` rows stay leaves; ``max_depth`` is at most 61.
+    """Settings: nodes up to ``min_leaf`` rows stay leaves; ``max_depth`` bounds the levels where it is given.
 
     A node also stays a leaf when no candidate gains anything.
     """
 
     min_leaf: int = 250
     candidates: int = 10
-    max_depth: int = 61
+    max_depth: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.max_depth is not None and self.max_depth < 0:
+            raise ValueError("max_depth must not be negative")
 
-    def _open(self, n: Column, n_pos: Column) -> Column:
-        return (n > self.min_leaf) & (n_pos > 0) & (n_pos < n)
+    def _open(self, n: Column, n_pos: Column, depth: int) -> Column:
+        return (n > self.min_leaf) & (n_pos > 0) & (n_pos < n) & F.lit(self.max_depth is None or depth < self.max_depth)
 
     def fit(self, rows: DataFrame) -> DataFrame:
         """The node table of a tree over ``row_id, features, label``.
 
-        Columns: ``node_id, depth, feature, split, gain, left, right, n, n_pos, prediction``;
-        feature, split, gain and children are null in leaves. One search per level covers all its
-        nodes. Rows are not rewritten: each level routes the stored rows through the splits so far,
-        which needs no shuffle while the splits of a level are few enough to broadcast. A child's
+        Columns: ``node_id, depth, feature, split, gain, left, right, n, n_pos, prediction``; nodes are paths (see
+        ``operators.tree``); feature, split, gain and children are null in leaves. Values are turned into ranks once. One search per level
+        covers all its open nodes. A level routes the rows through the splits since they were stored last; every ``STORE_LEVELS``
+        levels the rows of open nodes are stored anew and the older copy is removed, so no plan grows with the depth. A child's
         counts come from its parent's split, so no level is counted again.
         """
-        if not 0 <= self.max_depth <= 61:
-            raise ValueError("max_depth must be between 0 and 61")
-        kept = settle(spread(rows.select("row_id", "features", "label")), "rows")
-        routed = kept.withColumn("node_id", F.lit(1).cast("bigint"))
+        coded = code_values(rows)
+        routed = coded.rows.withColumn("node_id", F.lit(ROOT))
         level = settle(node_entropy(routed).select("node_id", "n", "n_pos"), "nodes")
-        parts = []
-        for depth in range(self.max_depth + 1):
-            isopen = self._open(F.col("n"), F.col("n_pos"))
-            if depth == self.max_depth or level.where(isopen).isEmpty():
-                parts.append(level.select("*", *_no_split(), F.lit(depth).alias("depth")))
-                break
-            still = level.where(isopen).select("node_id")
-            splits = settle(
-                search_splits(_only(routed, still), self.candidates)
-                .where("gain > 0")
-                .select("node_id", "feature", "split", "gain", "left_n", "left_pos", "n", "n_pos"),
-                "splits",
-            )
-            chosen = splits.select("node_id", "feature", "split", "gain")
-            parts.append(level.join(chosen, "node_id", "left").withColumn("depth", F.lit(depth)))
-            if splits.isEmpty():
-                break
-            routed = split_rows(routed, splits)
-            level = splits.select(
-                F.explode(
-                    F.array(
-                        F.struct(
-                            (F.col("node_id") * 2).alias("node_id"),
-                            F.col("left_n").alias("n"),
-                            F.col("left_pos").alias("n_pos"),
-                        ),
-                        F.struct(
-                            (F.col("node_id") * 2 + 1).alias("node_id"),
-                            (F.col("n") - F.col("left_n")).alias("n"),
-                            (F.col("n_pos") - F.col("left_pos")).alias("n_pos"),
-                        ),
-                    )
-                ).alias("child")
-            ).select("child.*")
+        parts, held, depth = [], None, 0
+        opened = not level.where(self._open(F.col("n"), F.col("n_pos"), 0)).isEmpty()
+        while opened:
+            if depth and depth % STORE_LEVELS == 0:
+                held = _stored_again(routed, held)
+                routed = held.table
+            found = feature_splits(routed, coded, self.candidates).where("gain > 0")
+            splits = best_split(found).select("node_id", "feature", "code", "split", "gain", "left_n", "left_pos", "n", "n_pos")
+            splits = settle(splits.select("*", *self._sides(depth + 1)), "splits")
+            parts.append(level.join(splits.select("node_id", "feature", "split", "gain"), "node_id", "left").withColumn("depth", F.lit(depth)))
+            level = splits.select(F.explode(F.array("below", "above")).alias("child")).select("child.node_id", "child.n", "child.n_pos")
+            opened = not splits.where("below.opened or above.opened").isEmpty()
+            depth += 1
+            if opened:
+                routed = _routed(routed, splits)
+        parts.append(level.select("*", *_no_split(), F.lit(depth).alias("depth")))
         nodes = reduce(DataFrame.unionByName, parts).select(
             "node_id",
             "depth",
             "feature",
             "split",
             "gain",
-            F.when(F.col("feature").isNotNull(), F.col("node_id") * 2).alias("left"),
-            F.when(F.col("feature").isNotNull(), F.col("node_id") * 2 + 1).alias("right"),
+            F.when(F.col("feature").isNotNull(), F.concat("node_id", F.lit("0"))).alias("left"),
+            F.when(F.col("feature").isNotNull(), F.concat("node_id", F.lit("1"))).alias("right"),
             "n",
             "n_pos",
             majority(F.col("n"), F.col("n_pos")).alias("prediction"),
         )
-        return settle(nodes, "tree")
+        nodes = settle(nodes, "tree")
+        if held is not None:
+            held.discard()
+        return nodes
+
+    def _sides(self, depth: int) -> list[Column]:
+        """The children of a split with their counts, and whether they are to be split again."""
+
+        def side(name: str, n: Column, n_pos: Column) -> Column:
+            node = child(F.col("node_id"), F.lit(name == "below"))
+            return F.struct(node.alias("node_id"), n.alias("n"), n_pos.alias("n_pos"), self._open(n, n_pos, depth).alias("opened")).alias(name)
+
+        left = F.col("left_n"), F.col("left_pos")
+        return [side("below", *left), side("above", F.col("n") - left[0], F.col("n_pos") - left[1])]
+
+
+def _routed(rows: DataFrame, splits: DataFrame) -> DataFrame:
+    """Coded rows at the children of their nodes; those of leaves are left out."""
+    moved = lookup_join(rows, splits.select("node_id", "feature", "code", "below", "above"), "node_id", "row_id")
+    side = F.when(F.element_at("codes", F.col("feature") + 1) < F.col("code"), F.col("below")).otherwise(F.col("above"))
+    at = moved.select("row_id", "codes", "label", side.alias("_at")).where("_at.opened")
+    return at.select("row_id", "codes", "label", F.col("_at.node_id").alias("node_id"))
+
+
+def _stored_again(rows: DataFrame, older: Stored | None) -> Stored:
+    kept = stored(rows, "routed")
+    if older is not None:
+        older.discard()
+    return kept
 
 
 def _no_split() -> list[Column]:
@@ -113,11 +145,6 @@ def _no_split() -> list[Column]:
     ]
 
 
-def _only(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows of the given nodes."""
-    return lookup_join(rows, nodes, "node_id", "row_id")
-
-
 def library_accuracy(
     train: DataFrame, test: DataFrame, max_depth: int = 5, max_bins: int = 5
 ) -> DataFrame:

@@ -63,8 +63,9 @@ class SimilarDocuments:
     def set_groups(self, docs: DataFrame) -> DataFrame:
         """Stored ``id, items, n_docs``: the distinct shingle sets, each named by its smallest document."""
         lists = shingle_id_lists(self.tokens(docs), self.k, self.id_method)
-        sets = lists.select("doc_id", F.array_sort(F.array_distinct("ids")).alias("items")).where(F.size("items") > 0)
-        grouped = sets.groupBy("items").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n_docs"))
+        # stored first: a filter or a key would repeat the whole text expression
+        sets = settle(lists.select("doc_id", F.sort_array(F.array_distinct("ids")).alias("items")), "lists")
+        grouped = sets.where(F.size("items") > 0).groupBy("items").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n_docs"))
         return settle(grouped.select("id", "items", "n_docs"), "sets")
 
     def above(self, docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from minekit.operators import features
-from minekit.operators.splits import split_candidates, split_gains, value_counts
-from minekit.operators.tree import accuracy, leaf_predictions, tree_listing, tree_predictions
+from minekit.operators.splits import BLOCK, coded_candidates, split_candidates, split_gains, value_counts
+from minekit.operators.codes import code_values
+from minekit.operators.tree import ROOT, accuracy, leaf_predictions, tree_listing, tree_predictions
 from minekit.plans.decision_tree import DecisionTree, search_splits
 
 
@@ -15,7 +16,7 @@ def rows(spark, data):
 
 
 def at_root(df):
-    return df.withColumn("node_id", F.lit(1).cast("bigint"))
+    return df.withColumn("node_id", F.lit(ROOT))
 
 
 def entropy(n, pos):
@@ -41,7 +42,7 @@ def brute(data, wanted):
     return max(best)
 
 
-def grow(data, min_leaf, wanted, depth=0, node=1, max_depth=61):
+def grow(data, min_leaf, wanted, depth=0, node=1, max_depth=None):
     n, pos = len(data), sum(y for _, y in data)
     leaf = {node: (None, None, n, pos, int(2 * pos >= n))}
     if n <= min_leaf or depth == max_depth or pos in (0, n):
@@ -63,28 +64,34 @@ def test_best_split_equals_brute_force(spark, wanted):
     assert (best.gain, best.split, best.feature) == pytest.approx(brute(DATA, wanted))
 
 
-@pytest.mark.parametrize("max_depth", [2, 61])
+@pytest.mark.parametrize("max_depth", [0, 2, None])
 def test_tree_equals_recursive_tree(spark, max_depth):
     nodes = DecisionTree(min_leaf=20, candidates=10, max_depth=max_depth).fit(rows(spark, DATA))
-    got = {r.node_id: (r.feature, r.split, r.n, r.n_pos, r.prediction) for r in nodes.collect()}
+    got = {int(r.node_id, 2): (r.feature, r.split, r.n, r.n_pos, r.prediction) for r in nodes.collect()}
     assert got == grow(DATA, 20, 10, max_depth=max_depth)
 
 
 def test_rows_are_routed_without_broadcast_too(spark, monkeypatch):
     monkeypatch.setattr("minekit.operators.features.BROADCAST_ROWS", 0)
     nodes = DecisionTree(min_leaf=20, max_depth=3).fit(rows(spark, DATA))
-    got = {r.node_id: (r.feature, r.split, r.n, r.n_pos, r.prediction) for r in nodes.collect()}
+    got = {int(r.node_id, 2): (r.feature, r.split, r.n, r.n_pos, r.prediction) for r in nodes.collect()}
     assert got == grow(DATA, 20, 10, max_depth=3)
 
 
-def test_predictions_walk_the_tree(spark):
+@pytest.mark.parametrize("packed", [True, False])
+def test_predictions_walk_the_tree(spark, monkeypatch, packed):
+    if not packed:
+        monkeypatch.setattr("minekit.operators.tree.PACKED_NODES", 0)
+        monkeypatch.setattr("minekit.operators.tree.CHUNK_LEVELS", 2)
     tree = grow(DATA, 20, 10)
     nodes = DecisionTree(min_leaf=20).fit(rows(spark, DATA))
-    for r in tree_predictions(rows(spark, DATA), nodes).collect():
+    found = tree_predictions(rows(spark, DATA), nodes).collect()
+    assert len(found) == len(DATA)
+    for r in found:
         node = 1
         while tree[node][0] is not None:
             node = 2 * node + int(DATA[r.row_id][0][tree[node][0]] >= tree[node][1])
-        assert (r.node_id, r.prediction) == (node, tree[node][4])
+        assert (int(r.node_id, 2), r.prediction) == (node, tree[node][4])
 
 
 def test_stride_keeps_all_nineteen_values(spark):
@@ -138,3 +145,52 @@ def test_split_is_repeatable_and_near_its_weights(spark):
     one = features.train_test_split(data, "row_id", (9, 1), seed=4)
     assert one.exceptAll(features.train_test_split(data.repartition(5), "row_id", (9, 1), seed=4)).isEmpty()
     assert 4350 < one.where("part = 'train'").count() < 4650
+
+
+def test_seventy_levels(spark):
+    """Alternating classes on one feature with two candidates a level: a tree far deeper than a 64-bit number has digits."""
+    fresh = [((2.0**-i,), i % 2) for i in range(150)]
+    nodes = DecisionTree(min_leaf=1, candidates=1, max_depth=70).fit(rows(spark, fresh))
+    got = {r.node_id: (r.feature, r.split, r.n, r.n_pos) for r in nodes.collect()}
+    want = {bin(k)[2:]: v[:4] for k, v in grow(fresh, 1, 1, max_depth=70).items()}
+    assert got == want
+    found = {r.row_id: r.prediction for r in tree_predictions(rows(spark, fresh), nodes).collect()}
+    assert len(found) == 150
+
+
+def test_candidates_of_many_values_in_several_blocks(spark):
+    n = 3 * BLOCK + 77
+    data = spark.range(n).selectExpr("id as row_id", "array(cast(id as double), cast(id % 5 as double)) as features", "cast(id % 3 = 0 as double) as label")
+    coded = code_values(data)
+    assert coded.widest == n
+    for wanted in (1, 10):
+        found = coded_candidates(coded.rows.withColumn("node_id", F.lit(ROOT)), wanted, coded.widest).collect()
+        stride = n // wanted
+        assert sorted((r.code, r.left_n, r.left_pos) for r in found if r.feature == 0) == [(c, c, (c + 2) // 3) for c in range(0, n, stride)]
+        assert {(r.n, r.n_pos) for r in found} == {(n, (n + 2) // 3)}
+        assert sorted(r.code for r in found if r.feature == 1) == ([0, 1, 2, 3, 4] if wanted > 4 else [0])
+
+
+def test_no_level_is_sorted(spark):
+    coded = code_values(rows(spark, DATA))
+    found = coded_candidates(coded.rows.withColumn("node_id", F.lit(ROOT)), 10, coded.widest)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and "SortMergeJoin" not in plan
+
+
+def test_codes_by_a_join_equal_those_by_search(spark, monkeypatch):
+    data = rows(spark, [((i % 7 - 3, float("nan") if i % 5 == 0 else 0.5 * i), i % 2) for i in range(60)])
+    ragged = data.withColumn("features", F.when(F.col("row_id") % 4 == 0, F.array(F.lit(None).cast("double"))).otherwise(F.col("features")))
+    for df in (data, ragged):
+        near = code_values(df)
+        monkeypatch.setattr("minekit.operators.codes.BROADCAST_VALUES", 0)
+        far = code_values(df)
+        monkeypatch.undo()
+        assert sorted(map(tuple, near.rows.collect())) == sorted(map(tuple, far.rows.collect()))
+        assert near.with_values(near.values.select("feature", "code")).count() == far.with_values(far.values.select("feature", "code")).count()
+        assert near.widest == far.widest
+
+
+def test_candidates_too_many_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("minekit.operators.splits.BROADCAST_CANDIDATES", 0)
+    assert (best := search_splits(at_root(rows(spark, DATA)), 10).first()) and (best.gain, best.split, best.feature) == pytest.approx(brute(DATA, 10))
