@@ -10,8 +10,14 @@ one group, which agree in all bands. ``n_pairs`` says how many document pairs a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from minekit.functions.columns import equal_positions
 from minekit.functions.skew import BLOCK_COST, balanced_join, balanced_pairs, row_counts
@@ -74,6 +80,32 @@ def pair_similarity(pairs: DataFrame, groups: DataFrame, block_cost: int = BLOCK
     )
 
 
+def similarity_bound(shared_bands: int, n_hashes: int, bands: int, rows: int) -> float:
+    """The largest similarity of two signatures that agree in exactly that many bands: all others miss one position at least."""
+    return (shared_bands * rows + (bands - shared_bands) * (rows - 1) + n_hashes - bands * rows) / n_hashes
+
+
+def strongest_pairs(pairs: DataFrame, groups: DataFrame, k: int, n_hashes: int, bands: int, rows: int, block_cost: int = BLOCK_COST) -> DataFrame:
+    """Similarities of those stored candidate ``pairs`` that may be among the first ``k`` rows.
+
+    Pairs are taken by their number of shared bands, most first. When ``k`` of them are measured, the last of these is a threshold: pairs whose
+    bands allow no more than less never meet their signatures. Only counts by shared bands reach the driver.
+    """
+    counts = {r.shared_bands: r["count"] for r in pairs.groupBy("shared_bands").count().collect()}
+    seen, lowest = 0, max(counts, default=0)
+    for shared in sorted(counts, reverse=True):
+        seen, lowest = seen + counts[shared], shared
+        if seen >= k:
+            break
+    first = settle(pair_similarity(pairs.where(F.col("shared_bands") >= lowest), groups, block_cost), "strongest")
+    least = first.orderBy(F.desc("similarity")).limit(k).agg(F.min("similarity")).first()[0]
+    others = [s for s in counts if s < lowest and (seen < k or similarity_bound(s, n_hashes, bands, rows) >= least)]
+    if not others:
+        return first
+    reach = (F.col("shared_bands") < lowest) & (F.col("shared_bands") >= min(others))
+    return first.unionByName(pair_similarity(pairs.where(reach), groups, block_cost))
+
+
 def top_pairs(similarities: DataFrame, signatures: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most similar document pairs ``a < b``: by similarity, then ``a``, then ``b``.
 
@@ -81,8 +113,8 @@ def top_pairs(similarities: DataFrame, signatures: DataFrame, k: int = 10) -> Da
     before all document pairs it stands for, except that the row ``a = a`` may come before a row
     ``(a, b)`` with a smaller second document. So the best ``k`` document pairs come from the first
     ``k + 1`` rows; and within a row only the ``k + 1`` smallest documents of a group can take part,
-    since a pair with a later document has at least ``k`` better ones. The window keeps that many
-    rows per group in every task before its shuffle.
+    since a pair with a later document has at least ``k`` better ones. Every task keeps that many
+    documents per group, and every row gives its ``k`` smallest pairs.
     """
     best = settle(
         similarities.orderBy(F.desc("similarity"), "a", "b").limit(k + 1).select("a", "b", "similarity"), "best"
@@ -90,19 +122,56 @@ def top_pairs(similarities: DataFrame, signatures: DataFrame, k: int = 10) -> Da
     # at most 2 * (k + 1) groups from here on
     named = F.broadcast(best.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     chosen = signatures.join(named, "doc_id", "left_semi").select(F.col("doc_id").alias("group_doc"), "sig")
-    by_id = Window.partitionBy("group_doc").orderBy("doc_id")
-    members = (
-        signatures.join(F.broadcast(chosen), "sig")
-        .select("group_doc", "doc_id", F.row_number().over(by_id).alias("at"))
-        .where(F.col("at") <= k + 1)
-    )
-    first = members.select(F.col("group_doc").alias("a"), F.col("doc_id").alias("x"))
-    second = members.select(F.col("group_doc").alias("b"), F.col("doc_id").alias("y"))
-    return (
-        best.join(first, "a")
-        .join(second, "b")
-        .where((F.col("a") < F.col("b")) | (F.col("x") < F.col("y")))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
-        .orderBy(F.desc("similarity"), "a", "b")
-        .limit(k)
-    )
+    found = signatures.join(F.broadcast(chosen), "sig").select("group_doc", "doc_id")
+    firsts = settle(smallest_of_groups(smallest_of_groups(found, k + 1).repartition("group_doc"), k + 1), "members")
+    lists = firsts.groupBy("group_doc").agg(F.collect_list("doc_id").alias("members"))
+    both = best.join(lists.toDF("a", "_x"), "a").join(lists.toDF("b", "_y"), "b")
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, similarity, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "similarity", "_x", "_y"))):
+                pairs = smallest_pairs(np.array(x), np.array(y), a == b, k)
+                yield pa.RecordBatch.from_pydict(
+                    {"a": pa.array(pairs[0]), "b": pa.array(pairs[1]), "similarity": pa.array(np.full(len(pairs[0]), similarity))}
+                ).cast(schema)
+
+    key = signatures.schema["doc_id"].dataType
+    kinds = StructType([StructField("a", key), StructField("b", key), StructField("similarity", DoubleType())])
+    schema = to_arrow_schema(kinds)
+    return both.mapInArrow(smallest, kinds).orderBy(F.desc("similarity"), "a", "b").limit(k)
+
+
+def smallest_of_groups(members: DataFrame, k: int) -> DataFrame:
+    """The ``k`` smallest ``doc_id`` of each ``group_doc`` within each partition; ``members`` has few groups."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            held = held.sort_by([("group_doc", "ascending"), ("doc_id", "ascending")])
+            groups = held.column("group_doc").to_numpy()
+            first = np.searchsorted(groups, groups, "left")
+            held = held.filter(pa.array(np.arange(len(groups)) - first < k)).combine_chunks()
+        if held is not None:
+            yield from held.to_batches()
+
+    return members.mapInArrow(keep, members.schema)
+
+
+def smallest_pairs(x: np.ndarray, y: np.ndarray, same: bool, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` pairs ``p < q`` of a document of each list, or of two of one list when they are the ``same``."""
+    x, y = np.sort(x), np.sort(y)
+    sides = [(x, x)] if same else [(x, y), (y, x)]
+    firsts = np.concatenate([p for p, _ in sides])
+    after = np.concatenate([np.searchsorted(q, p, "right") for p, q in sides])
+    side = np.repeat(np.arange(len(sides)), [len(p) for p, _ in sides])
+    sizes = np.array([len(q) for _, q in sides])[side] - after
+    order = np.argsort(firsts, kind="stable")
+    before = np.cumsum(sizes[order]) - sizes[order]
+    out_p, out_q = [], []
+    for i in order[before < k]:
+        q = sides[side[i]][1][after[i] : after[i] + k]
+        out_p.append(np.full(len(q), firsts[i]))
+        out_q.append(q)
+    return np.concatenate(out_p)[:k], np.concatenate(out_q)[:k]

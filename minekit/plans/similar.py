@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from minekit.functions.skew import BLOCK_COST, balanced_join
 from minekit.functions.storage import settle, spread
 from minekit.operators.minhash import MinHash, list_signatures
-from minekit.operators.pairs import candidate_pairs, pair_similarity, signature_groups, top_pairs
+from minekit.operators.pairs import candidate_pairs, pair_similarity, signature_groups, strongest_pairs, top_pairs
 from minekit.operators.setjoin import similar_sets
 from minekit.operators.text import doc_shingles, doc_tokens, shingle_id_lists, shingle_ids
 
@@ -58,7 +58,10 @@ class SimilarDocuments:
     def top(self, docs: DataFrame, k: int = 10) -> DataFrame:
         """The ``k`` most similar document pairs."""
         signatures = settle(self.signatures(docs), "signatures")
-        return top_pairs(self.similarities(self.groups(signatures)), signatures, k)
+        groups = self.groups(signatures)
+        pairs = settle(self.candidates(groups), "pairs")
+        strongest = strongest_pairs(pairs, groups, k + 1, self.family.n_hashes, self.bands, self.rows, self.block_cost)
+        return top_pairs(strongest, signatures, k)
 
     def set_groups(self, docs: DataFrame) -> DataFrame:
         """Stored ``id, items, n_docs``: the distinct shingle sets, each named by its smallest document."""

@@ -1,12 +1,13 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from minekit.functions.storage import settle
 from minekit.operators.minhash import MinHash, lsh_buckets, lsh_rows, minhash_signatures
-from minekit.operators.pairs import group_members, top_pairs
+from minekit.operators.pairs import group_members, similarity_bound, smallest_pairs, strongest_pairs, top_pairs
 from minekit.operators.text import doc_shingles, doc_tokens
 from minekit.plans.similar import SimilarDocuments
 
@@ -38,13 +39,9 @@ def docs(spark):
 
 
 def shingle_sets():
-    sets = {}
-    for doc, text in corpus().items():
-        for mark in '".,':
-            text = text.replace(mark, "")
-        words = [w for w in text.replace("-", " ").replace("\n", " ").lower().split(" ") if w]
-        sets[doc] = {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
-    return sets
+    """The texts of the corpus are made of plain words but for one, whose words are given."""
+    lists = {doc: text.split() for doc, text in corpus().items()} | {202: ["only", "three", "words"]}
+    return {doc: {tuple(words[i : i + 3]) for i in range(len(words) - 2)} for doc, words in lists.items()}
 
 
 def jaccard(x, y):
@@ -112,7 +109,7 @@ def test_compact_pairs_stand_for_all_document_pairs(docs):
     assert listed == {(r.a, r.b) for r in brute.where("a < b").select("a", "b").distinct().collect()}
 
 
-@pytest.mark.parametrize("k", [1, 10, 400, 600, 2000])
+@pytest.mark.parametrize("k", [1, 10, 400, 600, 1500, 2000])
 def test_top_pairs_equal_brute_force(docs, k):
     signatures = settle(SEARCH.signatures(docs), "signatures")
     sig = {r.doc_id: r.sig for r in signatures.collect()}
@@ -128,6 +125,32 @@ def test_top_pairs_equal_brute_force(docs, k):
     wanted = [(a, b, -s) for s, a, b in sorted(brute)[:k]]
     best = top_pairs(SEARCH.similarities(SEARCH.groups(signatures)), signatures, k)
     assert [tuple(r) for r in best.collect()] == wanted
+    assert "Window" not in best._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in SEARCH.top(docs, k).collect()] == wanted
+
+
+def test_pairs_that_cannot_be_among_the_best_are_not_measured(docs):
+    groups = SEARCH.groups(SEARCH.signatures(docs))
+    pairs = settle(SEARCH.candidates(groups), "pairs")
+    measured = strongest_pairs(pairs, groups, 2, 100, 50, 2, block_cost=200)
+    whole = {(r.a, r.b): r.similarity for r in SEARCH.similarities(groups).collect()}
+    got = {(r.a, r.b): r.similarity for r in measured.collect()}
+    assert got.items() <= whole.items() and len(got) < len(whole)
+    second = sorted(whole.values())[-2]
+    assert {p for p, s in whole.items() if s >= second} <= set(got)
+    for r in pairs.collect():
+        assert whole[(r.a, r.b)] <= similarity_bound(r.shared_bands, 100, 50, 2)
+    assert strongest_pairs(pairs.limit(0), groups, 2, 100, 50, 2).isEmpty()
+
+
+def test_smallest_pairs():
+    draw = random.Random(3)
+    for k in (1, 3, 20, 1000):
+        x, y = draw.sample(range(60), 12), draw.sample(range(100, 160), 9) + draw.sample(range(60, 70), 4)
+        every = sorted((min(p, q), max(p, q)) for p in x for q in y)
+        assert list(zip(*(side.tolist() for side in smallest_pairs(np.array(x), np.array(y), False, k)))) == every[:k]
+        inside = sorted((p, q) for p in x for q in x if p < q)
+        assert list(zip(*(side.tolist() for side in smallest_pairs(np.array(x), np.array(x), True, k)))) == inside[:k]
 
 
 def test_buckets_count_members(docs):
