@@ -147,6 +147,14 @@ def pagerank_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def points_with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without a key, numbered in file order."""
+    lines = through_text(views.points(spark, sf_dir).orderBy("id"), writers.bare_vector_line(), "points")
+    indexed = readers.read_numbered_vectors(spark, lines)
+    return indexed.select("id", F.posexplode("v").alias("pos", "x")).select("id", "pos", places("x", 6))
+
+
+@query
+def keyed_points_with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = through_text(views.points(spark, sf_dir), writers.vector_line(), "points")
     vectors = readers.read_keyed_vectors(spark, lines).withColumnRenamed("id", "vec_id")
     indexed = cluster.points_with_index(vectors, "vec_id")
@@ -231,6 +239,27 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
+def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, written one per file and read back as ``doc_id, text``."""
+    path = fresh_path(spark, "corpus")
+    writers.write_corpus(views.docs(spark, sf_dir).select(F.col("doc_id").alias("name"), "text"), path)
+    number = F.regexp_extract("file", r"^(-?\d+)\.txt$", 1).cast("bigint")
+    return readers.read_corpus(spark, path).select(number.alias("doc_id"), "text")
+
+
+@query
+def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = corpus_files(spark, sf_dir)
+    tokens = text.doc_tokens(read).select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"))
+    return read.select("doc_id", F.md5("text").alias("digest")).join(tokens, "doc_id")
+
+
+@query
+def corpus_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best pairs of a folder with one document per file."""
+    return SEARCH.top(corpus_files(spark, sf_dir), TOP)
+
+
 @query
 def doc_shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.doc_shingles(text.doc_tokens(views.docs(spark, sf_dir)), SEARCH.k)

@@ -11,15 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from minekit.functions.storage import settle
+from minekit.functions.storage import partitions_for, settle
+
+RANGE_BYTES = 64 << 20
 
 
 def chunked(df: DataFrame, order: list[str], label: str) -> DataFrame:
     """Stored copy of ``df`` with ``_chunk``, the number of its range in ``order``.
 
-    It is stored because the range number must stay the same for all its readers.
+    The number of ranges follows the size of ``df``. It is stored because the range number must stay the same for all its readers.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_chunk", F.spark_partition_id())
+    ranges = partitions_for(df, RANGE_BYTES)
+    ranged = df.repartitionByRange(ranges, *order).withColumn("_chunk", F.spark_partition_id())
     return settle(ranged, label)
 
 

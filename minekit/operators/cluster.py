@@ -2,8 +2,9 @@
 
 Points are ``id, v`` and centroids ``cid, v``. Up to ``PACKED_NUMBERS`` numbers (8 MB), the centroids
 travel as one value into the scan of the points, so measuring needs neither a join nor a shuffle.
-Larger sets are cut into packs of that size, and every point meets every pack by an equi join on the
-pack number.
+Larger sets are cut into packs of that size. For the table of all distances every point meets every pack by an equi join on the
+pack number; for the nearest centroid points are placed in blocks once and the packs stream through each block, which leaves out
+the points whose norms prove that a centroid is too far.
 
 Assigning runs over Arrow batches, with the same arithmetic whatever the number of packs and the length of the
 vectors: on 100,000 points of 64 numbers and 10 centroids it took 0.5 s against 4 s for nested
@@ -12,12 +13,15 @@ higher-order functions, which box every number.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from minekit.functions.columns import l1_distance, l2_squared
 from minekit.functions.ranking import dense_index
@@ -74,26 +78,46 @@ def pairwise_distance(points: DataFrame, centroids: DataFrame, n_packs: int | No
     return near.select("id", F.explode("near").alias("d")).select("id", "d.cid", "d.l1", "d.l2sq")
 
 
-def _nearest(batch: np.ndarray, cids: np.ndarray, table: np.ndarray) -> pd.DataFrame:
-    """The nearest centroid of each row under both metrics; the first of equals, an undefined distance never.
+class _Nearest:
+    """The nearest centroid so far of each row of ``batch`` under both metrics; an undefined distance is never the nearest.
 
-    The centroids are met one by one, so memory is that of the batch whatever their number.
+    Centroids are met one by one, so memory is that of the batch whatever their number. ``| |x| - |c| |`` is at most the distance of
+    ``x`` and ``c`` under either metric, so a centroid measures only rows for which it may be as near as their best.
     """
-    out = {}
-    for cost, cid, distance in (
-        ("l1", "cid_l1", lambda c: np.abs(batch - c).sum(axis=1)),
-        ("l2sq", "cid_l2", lambda c: np.square(batch - c).sum(axis=1)),
-    ):
-        best, at = np.full(len(batch), np.inf), np.full(len(batch), -1)
-        for i, c in enumerate(table):
-            far = distance(c)
-            nearer = far < best
-            best[nearer], at[nearer] = far[nearer], i
-        found = at >= 0
-        out[cid] = pd.array(np.where(found, cids[at], 0), dtype="Int64")
-        out[cid][~found] = pd.NA
-        out[cost] = np.where(found, best, np.nan)
-    return pd.DataFrame(out)[["cid_l1", "l1", "cid_l2", "l2sq"]]
+
+    def __init__(self, batch: np.ndarray):
+        self.batch = batch
+        with np.errstate(invalid="ignore", over="ignore"):
+            self.norms = {"l1": np.abs(batch).sum(axis=1), "l2sq": np.sqrt(np.square(batch).sum(axis=1))}
+        self.best = {m: np.full(len(batch), np.inf) for m in self.norms}
+        self.cid = {m: np.zeros(len(batch), np.int64) for m in self.norms}
+
+    def meet(self, cids: np.ndarray, table: np.ndarray) -> None:
+        with np.errstate(invalid="ignore", over="ignore"):
+            norms = {"l1": np.abs(table).sum(axis=1), "l2sq": np.sqrt(np.square(table).sum(axis=1))}
+        for metric, own in self.norms.items():
+            best, at = self.best[metric], self.cid[metric]
+            for i, c in enumerate(table):
+                with np.errstate(invalid="ignore"):
+                    gap = np.abs(own - norms[metric][i])
+                    gap = (gap if metric == "l1" else np.square(gap)) - 1e-9 * (own + norms[metric][i]) ** (1 if metric == "l1" else 2)
+                    # an undefined gap rules nothing out
+                    rows = np.flatnonzero(~(gap > best))
+                if not len(rows):
+                    continue
+                part = self.batch if len(rows) == len(own) else self.batch[rows]
+                far = np.abs(part - c).sum(axis=1) if metric == "l1" else np.square(part - c).sum(axis=1)
+                nearer = (far < best[rows]) | ((far == best[rows]) & (far < np.inf) & (cids[i] < at[rows]))
+                best[rows[nearer]], at[rows[nearer]] = far[nearer], cids[i]
+
+    def frame(self) -> pd.DataFrame:
+        out = {}
+        for cost, cid in (("l1", "cid_l1"), ("l2sq", "cid_l2")):
+            found = self.best[cost] < np.inf
+            out[cid] = pd.array(self.cid[cost], dtype="Int64")
+            out[cid][~found] = pd.NA
+            out[cost] = np.where(found, self.best[cost], np.nan)
+        return pd.DataFrame(out)[["cid_l1", "l1", "cid_l2", "l2sq"]]
 
 
 NEAR = "cid_l1 bigint, l1 double, cid_l2 bigint, l2sq double"
@@ -105,7 +129,11 @@ def _nearest_of(cids: np.ndarray, table: np.ndarray) -> Callable[[str], Column]:
     @F.pandas_udf(NEAR)
     def nearest(v: pd.Series) -> pd.DataFrame:
         rows = max(1, BATCH_NUMBERS // max(1, table.shape[1]))
-        parts = [_nearest(np.stack(v.to_numpy()[i : i + rows]), cids, table) for i in range(0, len(v), rows)]
+        parts = []
+        for i in range(0, len(v), rows):
+            found = _Nearest(np.stack(v.to_numpy()[i : i + rows]))
+            found.meet(cids, table)
+            parts.append(found.frame())
         return pd.concat(parts, ignore_index=True)
 
     return nearest
@@ -115,47 +143,81 @@ def assignments(points: DataFrame, centroids: DataFrame, n_packs: int | None = N
     """``id, v, cid_l1, l1, cid_l2, l2sq``: the nearest centroid under both metrics.
 
     Among equally near centroids the smallest ``cid`` wins; a centroid at an undefined distance is never the
-    nearest, and a point without any other has nulls. One pack travels into the scan. Of several packs each
-    meets the points in blocks of bounded size, and only costs are reduced; the vectors move
-    once. Every row stays a row, also when ids repeat.
+    nearest, and a point without any other has nulls. One pack travels into the scan. Of several packs each passes
+    through every block of points. The vectors move once, whatever the number of packs. Every row
+    stays a row, also when ids repeat.
     """
     n_packs = n_packs or packs_needed(centroids)
     if n_packs == 1:
-        kept = sorted((row.cid, row.v) for row in centroids.select("cid", "v").collect())
-        if not kept:
-            raise ValueError("there are no centroids")
-        nearest = _nearest_of(np.array([cid for cid, _ in kept]), np.array([v for _, v in kept]))
-        near = points.select("id", "v", nearest("v").alias("near")).select("id", "v", "near.*")
-        return near.select("id", "v", *[_undefined(c).alias(c) for c in ("cid_l1", "l1", "cid_l2", "l2sq")])
-    rows = points.groupBy("id", "v").agg(F.count(F.lit(1)).alias("_times"))
-    rows = rows.withColumn("_key", F.struct("id", F.xxhash64("v")))
-    numbers = rows.agg(F.coalesce(F.sum(F.size("v")), F.lit(0))).first()[0]
-    n_blocks = max(1, -(-numbers // BLOCK_NUMBERS))
-    all_packs, all_blocks = (F.sequence(F.lit(0), F.lit(n - 1)) for n in (n_packs, n_blocks))
-    left = rows.select(
-        "_key", "v", F.pmod(F.xxhash64("_key"), F.lit(n_blocks)).cast("int").alias("block"), F.explode(all_packs).alias("pack_no")
-    )
-    right = centroids.select(
-        "cid", "v", F.pmod(F.xxhash64("cid"), F.lit(n_packs)).cast("int").alias("pack_no"), F.explode(all_blocks).alias("block")
-    )
+        return assigned_to(points, [(row.cid, row.v) for row in centroids.select("cid", "v").collect()])
+    return _streamed(points, centroids, n_packs)
 
-    def measure(own: pd.DataFrame, pack: pd.DataFrame) -> pd.DataFrame:
-        if not len(own) or not len(pack):
-            return pd.DataFrame(columns=["_key", "cid_l1", "l1", "cid_l2", "l2sq"])
-        pack = pack.sort_values("cid")
-        found = _nearest(np.stack(own["v"].to_numpy()), pack["cid"].to_numpy(), np.stack(pack["v"].to_numpy()))
-        found.insert(0, "_key", own["_key"].to_numpy())
-        return found
-
-    key = left.schema["_key"].dataType.simpleString()
-    met = left.groupBy("pack_no", "block").cogroup(right.groupBy("pack_no", "block")).applyInPandas(measure, f"_key {key}, {NEAR}")
-    best = met.groupBy("_key").agg(
-        *[F.min(F.when(F.col(cid).isNotNull(), F.struct(F.col(cost).alias("cost"), F.col(cid).alias("cid")))).alias(cost) for cost, cid in (("l1", "cid_l1"), ("l2sq", "cid_l2"))]
+
+def assigned_to(points: DataFrame, centroids: list[tuple[int, list[float]]]) -> DataFrame:
+    """The same for centroids at hand, few enough to travel into the scan."""
+    if not centroids:
+        raise ValueError("there are no centroids")
+    kept = sorted(centroids)
+    nearest = _nearest_of(np.array([cid for cid, _ in kept]), np.array([v for _, v in kept]))
+    near = points.select("id", "v", nearest("v").alias("near")).select("id", "v", "near.*")
+    return near.select("id", "v", *[_undefined(c).alias(c) for c in ("cid_l1", "l1", "cid_l2", "l2sq")])
+
+
+def _streamed(points: DataFrame, centroids: DataFrame, n_packs: int) -> DataFrame:
+    """Points are dealt into blocks of bounded size, each followed by all packs; a task reads block after block."""
+    numbers = points.agg(F.coalesce(F.sum(F.size("v")), F.lit(0))).first()[0]
+    n_blocks = max(1, -(-numbers // BLOCK_NUMBERS))
+    nothing = F.lit(None).cast("bigint")
+    key = points.schema["id"].dataType.simpleString()
+    placed = points.select(
+        F.pmod(F.xxhash64("id", "v"), F.lit(n_blocks)).cast("int").alias("block"), F.lit(0).alias("pack_no"), "id", nothing.alias("cid"), "v"
     )
-    joined = rows.join(best, "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return joined.select(
-        "id", "v", F.col("l1.cid").alias("cid_l1"), F.col("l1.cost").alias("l1"), F.col("l2sq.cid").alias("cid_l2"), F.col("l2sq.cost").alias("l2sq")
+    own_pack = (F.pmod(F.xxhash64("cid"), F.lit(n_packs)) + 1).cast("int").alias("pack_no")
+    sent = centroids.select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), own_pack, F.lit(None).cast(key).alias("id"), "cid", "v"
     )
+    n_tasks = max(points.sparkSession.sparkContext.defaultParallelism, n_blocks)
+    dealt = placed.unionByName(sent).repartition(n_tasks, "block").sortWithinPartitions("block", "pack_no")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, found = None, [], None
+
+        def result() -> Iterator[pa.RecordBatch]:
+            if held:
+                rows = pa.Table.from_batches(held)
+                near = (found or _Nearest(_stacked(rows.column("v").combine_chunks()))).frame()
+                columns = {"id": rows.column("id"), "v": rows.column("v")} | {c: pa.array(near[c], from_pandas=True) for c in near}
+                yield from pa.table(columns).cast(schema).to_batches()
+
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            packs = batch.column("pack_no").to_numpy()
+            cuts = np.flatnonzero((blocks[1:] != blocks[:-1]) | ((packs[1:] > 0) != (packs[:-1] > 0))) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(blocks)]):
+                part = batch.slice(low, high - low)
+                if blocks[low] != block:
+                    yield from result()
+                    block, held, found = blocks[low], [], None
+                if packs[low] == 0:
+                    held.append(part.select(["id", "v"]))
+                elif held:
+                    if found is None:
+                        found = _Nearest(_stacked(pa.Table.from_batches(held).column("v").combine_chunks()))
+                    found.meet(part.column("cid").to_numpy(), _stacked(part.column("v")))
+        yield from result()
+
+    fields = [points.schema["id"], points.schema["v"], *StructType.fromDDL(NEAR).fields]
+    kinds = StructType([StructField(f.name, f.dataType) for f in fields])
+    schema = to_arrow_schema(kinds)
+    return dealt.mapInArrow(measure, kinds)
+
+
+def _stacked(vectors: pa.Array) -> np.ndarray:
+    """Vectors of one length as a matrix."""
+    flat = vectors.flatten().fill_null(float("nan")).to_numpy(zero_copy_only=False)
+    if len(flat) % max(len(vectors), 1) or len(set(vectors.value_lengths().to_pylist())) > 1:
+        raise ValueError("vectors of different lengths")
+    return flat.reshape(len(vectors), -1)
 
 
 def _undefined(column: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -9,8 +10,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from minekit.functions.storage import settle, spread
-from minekit.operators.cluster import PACKED_NUMBERS, assignments, centroid_update, packs_needed
+from minekit.functions.storage import spread, stored
+from minekit.operators.cluster import PACKED_NUMBERS, assigned_to, assignments, centroid_update, packs_needed
+
+HISTORY = "iteration int, k bigint, cost_l1 double, cost_l2sq double"
 
 
 @dataclass(frozen=True)
@@ -32,33 +35,52 @@ class KMeans:
     def fit(self, points: DataFrame, start: DataFrame) -> KMeansFit:
         """Iterate from ``start``.
 
-        The points are kept on the executors, in memory and then on disk. One job per iteration:
-        points are assigned and folded into one row per cluster in a single pass. Row ``t`` of the
-        history holds the cost before update ``t``; ``k`` counts the clusters with members.
+        The points are kept on the executors, in memory and then on disk. Each iteration assigns them and folds them into one row per
+        cluster in a single pass. Centroids of up to ``packed_numbers`` numbers come to the driver with that pass and travel
+        back into the next one, so an iteration is one job and writes nothing. Larger sets are stored, and the older ones removed. Row ``t``
+        of the history holds the cost before update ``t``; ``k`` counts the clusters with members.
         """
-        centroids = settle(start.select("cid", "v"), "centroids")
-        n_packs = packs_needed(centroids, self.packed_numbers)
-        dimension = centroids.select(F.max(F.size("v"))).first()[0]
+        start = start.select("cid", "v")
         points = spread(points.select("id", "v")).persist(StorageLevel.MEMORY_AND_DISK)
-        costs = []
         try:
-            for iteration in range(self.iterations):
-                near = assignments(points, centroids, n_packs)
-                clusters = settle(centroid_update(near, self.metric, dimension), "clusters")
-                costs.append(clusters.select(F.lit(iteration).alias("iteration"), "cost_l1", "cost_l2sq"))
-                centroids = clusters.select("cid", "v")
+            if packs_needed(start, self.packed_numbers) == 1:
+                return self._at_hand(points, start)
+            return self._stored(points, start)
         finally:
             points.unpersist()
-        history = (
-            reduce(DataFrame.unionByName, costs)
-            .groupBy("iteration")
-            .agg(
-                F.count(F.lit(1)).alias("k"),
-                F.sum("cost_l1").alias("cost_l1"),
-                F.sum("cost_l2sq").alias("cost_l2sq"),
-            )
+
+    def _at_hand(self, points: DataFrame, start: DataFrame) -> KMeansFit:
+        spark = points.sparkSession
+        centroids = [(r.cid, r.v) for r in start.collect()]
+        dimension = max((len(v) for _, v in centroids), default=0)
+        history = []
+        for iteration in range(self.iterations):
+            clusters = centroid_update(assigned_to(points, centroids), self.metric, dimension).collect()
+            if not clusters:
+                break
+            centroids = [(r.cid, r.v) for r in clusters]
+            history.append((iteration, len(clusters), *(math.fsum(r[c] for r in clusters) for c in ("cost_l1", "cost_l2sq"))))
+        kinds = {f.name: f.dataType.simpleString() for f in start.schema}
+        return KMeansFit(
+            spark.createDataFrame(sorted(centroids), f"cid {kinds['cid']}, v array<double>"),
+            spark.createDataFrame(history, HISTORY),
         )
-        return KMeansFit(centroids, history)
+
+    def _stored(self, points: DataFrame, start: DataFrame) -> KMeansFit:
+        state = stored(start, "centroids")
+        dimension = state.table.select(F.max(F.size("v"))).first()[0]
+        history = []
+        for iteration in range(self.iterations):
+            near = assignments(points, state.table.select("cid", "v"), packs_needed(state.table, self.packed_numbers))
+            after = stored(centroid_update(near, self.metric, dimension), "centroids")
+            k, *costs = after.table.agg(F.count(F.lit(1)), F.sum("cost_l1"), F.sum("cost_l2sq")).first()
+            if not k:
+                after.discard()
+                break
+            state.discard()
+            state = after
+            history.append((iteration, k, *costs))
+        return KMeansFit(state.table.select("cid", "v"), points.sparkSession.createDataFrame(history, HISTORY))
 
 
 def cost_changes(history: DataFrame, run: str = "run") -> DataFrame:

@@ -58,7 +58,10 @@ def read_keyed_vectors(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """One document per file as ``file, text``; the file name is the stable key."""
+    """One document per file as ``file, text``; the file name is the stable key. Spark gives no row for a file without any byte.
+
+    Files are packed into splits by their sizes, so many small files make few tasks.
+    """
     return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("file"),
         F.regexp_replace("value", "\r\n?", "\n").alias("text"),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,11 @@ def vector_line() -> Column:
     return F.concat_ws("\t", F.col("id").cast("string"), F.array_join(F.col("v").cast("array<string>"), " "))
 
 
+def bare_vector_line() -> Column:
+    """The blank-separated numbers of ``v``, without a key."""
+    return F.array_join(F.col("v").cast("array<string>"), " ")
+
+
 def rank_line() -> Column:
     """Node and rank, tab-separated, the rank with nine decimals."""
     return F.format_string("%d\t%.9f", "node", "rank")
@@ -44,3 +53,27 @@ def pair_line() -> Column:
 def write_lines(df: DataFrame, line: Column, path: str) -> None:
     """Write one text line per row; the files follow the partitions, and so any sort, of ``df``."""
     df.select(line.alias("value")).write.text(path)
+
+
+def write_corpus(docs: DataFrame, path: str) -> int:
+    """Write each document (``name, text``) as a file of its own, ``<name>.txt``; the number of files.
+
+    Names are unique and hold no slash. Tasks write under the folder ``path``, which all executors share, with the file system of its URI (local, or
+    what the Arrow file systems know). A file appears whole, under its own name, so a task that runs again replaces what it wrote before.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+
+        fs, root = FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        fs.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist()):
+                part = f"{root}/_{uuid.uuid4().hex}"
+                with fs.open_output_stream(part) as out:
+                    out.write((text or "").encode())
+                fs.move(part, f"{root}/{name}.txt")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    counts = docs.select(F.col("name").cast("string").alias("name"), "text").mapInArrow(write, "n bigint")
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

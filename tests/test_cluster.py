@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +38,44 @@ def test_packs_give_the_same_result(cloud, n_packs):
     assert key(pairwise_distance(*cloud, n_packs=n_packs)) == key(pairwise_distance(*cloud))
 
 
+def test_vectors_move_once_whatever_the_number_of_packs(cloud):
+    for n_packs in (2, 9):
+        plan = assignments(*cloud, n_packs=n_packs)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_nearest_of_many_centroids_equals_brute_force(spark, monkeypatch):
+    """Norms of very different size, so that many centroids are left out, equal distances, and several blocks of points."""
+    monkeypatch.setattr("minekit.operators.cluster.BLOCK_NUMBERS", 64)
+    draw = np.random.default_rng(4)
+    data = (draw.normal(size=(120, 4)) * np.exp(draw.uniform(-3, 4, (120, 1)))).round(1)
+    table = np.concatenate((data[::3] + 0.5, draw.normal(size=(60, 4)) * 30, data[:5] - 0.5, data[:5] + 0.5)).round(1)
+    far = {"l1": np.abs(data[:, None] - table).sum(2), "l2sq": np.square(data[:, None] - table).sum(2)}
+    want = {m: d.min(1) for m, d in far.items()}
+    for n_packs in (1, 4):
+        near = assignments(
+            points(spark, [(i, v) for i, v in enumerate(data.tolist())]), centroids(spark, list(enumerate(table.tolist()))), n_packs=n_packs
+        ).collect()
+        assert len(near) == 120
+        for r in near:
+            assert r.l1 == pytest.approx(want["l1"][r.id]) and r.l2sq == pytest.approx(want["l2sq"][r.id])
+            assert far["l1"][r.id][r.cid_l1] == pytest.approx(r.l1) and far["l2sq"][r.id][r.cid_l2] == pytest.approx(r.l2sq)
+
+
+def test_one_state_is_left_and_both_ways_agree(cloud, tmp_path, monkeypatch):
+    spark = cloud[0].sparkSession
+    near = KMeans("l2", 6).fit(*cloud)
+    monkeypatch.setattr("minekit.functions.storage.work_dir", lambda session: str(tmp_path))
+    far = KMeans("l2", 6, packed_numbers=4).fit(*cloud)
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["centroids"]
+    assert [tuple(r) for r in near.history.orderBy("iteration").collect()] == [
+        pytest.approx(tuple(r)) for r in far.history.orderBy("iteration").collect()
+    ]
+    rows = lambda fit: {r.cid: pytest.approx(r.v) for r in fit.centroids.collect()}
+    assert rows(near) == {r.cid: r.v for r in far.centroids.collect()}
+    assert spark.range(1).count() == 1
+
+
 def test_long_vectors_give_the_same_result(cloud, monkeypatch):
     wanted = sorted(tuple(r) for r in assignments(*cloud).drop("v").collect())
     monkeypatch.setattr("minekit.operators.cluster.BATCH_NUMBERS", 1)

@@ -39,6 +39,19 @@ def test_corpus_is_keyed_by_file_name(spark, tmp_path):
     assert got == {"001.txt": "Title\n\nBody text\n", "002.txt": "Other\n"}
 
 
+def test_corpus_files_round_trip(spark, tmp_path):
+    docs = [("1", "first\ntext"), ("2", ""), ("3", None), ("-4", "öl \t x" * 1000)]
+    path = f"{tmp_path}/corpus"
+    df = spark.createDataFrame(docs, "name string, text string").repartition(3)
+    assert writers.write_corpus(df, path) == 4
+    # written again: the same files
+    assert writers.write_corpus(df, path) == 4
+    got = {r.file: r.text for r in readers.read_corpus(spark, path).collect()}
+    assert got == {f"{name}.txt": text for name, text in docs if text}
+    assert (tmp_path / "corpus/2.txt").read_text() == (tmp_path / "corpus/3.txt").read_text() == ""
+    assert writers.write_corpus(df.limit(0), f"{tmp_path}/none") == 0
+
+
 def test_labeled_rows(spark, tmp_path):
     lines = [
         '"url"\t"urlid"\t"body"\t"kind"\t"x"\t"y"\t"spare"\t"label"',

@@ -35,3 +35,13 @@ def test_only_small_inputs_are_dealt_out(spark, monkeypatch):
     assert storage.spread(small).select(F.spark_partition_id()).distinct().count() == 8
     monkeypatch.setattr(storage, "SMALL_INPUT", 1)
     assert storage.spread(small).select(F.spark_partition_id()).distinct().count() == 1
+
+
+def test_ranges_grow_with_the_size_of_the_data(spark, monkeypatch):
+    from minekit.functions.ranking import RANGE_BYTES, chunked, dense_index
+
+    df = spark.range(3000).withColumn("x", F.col("id") * 7 % 3000)
+    for ranges in (8, 40):
+        monkeypatch.setattr(storage, "estimated_bytes", lambda _, n=ranges: n * RANGE_BYTES)
+        assert chunked(df, ["x"], "ranges").select("_chunk").distinct().count() == ranges
+        assert dense_index(df, "x", "at").where("at <> x").isEmpty()
