@@ -2,18 +2,18 @@
 
 *Fit*, on a bounded sample of distinct vectors: a graph of nearest neighbours, cut into parts of equal size (halving
 along principal directions, then moves and swaps that lower the number of cut edges), and a small network
-that learns to tell the part of a vector. How many parts a query visits is measured on the sample: the fewest that hold
-``recall`` of the true neighbours.
+that learns to tell the part of a vector. How many parts a query visits is measured on sampled rows that the partition and
+the network have not seen, as queries and as their neighbours alike: the fewest that hold ``recall + margin`` of the true neighbours.
 
 *Index*: every vector goes to its most probable part. Equal vectors are one entry with their smallest
-ids, so copies cost nothing. A part of more than ``block_rows`` entries is cut into blocks.
+ids, so copies cost nothing. A part of more than ``block_rows`` entries is cut into blocks, and so are the queries that visit it.
 
 *Search*: a query visits all blocks of its most probable parts; all entries there are measured in double
-precision, and the best of all blocks are merged.
+precision, and the best of all blocks are merged. A query that finds fewer than ``k`` others there visits all parts.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without
 ``vec_id`` or vectors of another length than most of the sample. Ties go to the smaller id. Repeated
-rows count once. With fewer candidates than ``k`` all that the visited parts hold are returned; a table that fits into the sample with one part is
+rows count once. With fewer candidates than ``k`` all are returned; a table that fits into the sample with one part is
 searched whole. Columns beyond ``vec_id`` and ``embedding`` are ignored.
 """
 
@@ -55,7 +55,10 @@ class Router:
 
 @dataclass(frozen=True)
 class LearnedPartitions:
-    """``sample_rows`` bounds what the fit sees; ``per_part`` sample rows make a part, ``max_parts`` at most."""
+    """``sample_rows`` bounds what the fit sees; ``per_part`` sample rows make a part, ``max_parts`` at most.
+
+    ``held_out`` is the share of the sample that only measures recall.
+    """
 
     k: int = 20
     sample_rows: int = 10_000
@@ -63,7 +66,10 @@ class LearnedPartitions:
     max_parts: int = 96
     graph_degree: int = 10
     recall: float = 0.95
+    margin: float = 0.02
+    held_out: float = 0.25
     block_rows: int = 20_000
+    query_rows: int = 20_000
     hidden: int = 128
     epochs: int = 15
     seed: int = 5
@@ -101,16 +107,22 @@ class LearnedPartitions:
         sizes, counts = np.unique([len(r) for r in rows], return_counts=True)
         dimension = int(sizes[counts.argmax()])
         x = np.array([r for r in rows if len(r) == dimension])
-        n_parts = int(np.clip(len(x) // self.per_part, 1, self.max_parts))
-        graph, near = self._graph(x)
-        part = balanced_parts(x, graph, n_parts)
-        router = self._train(x, part, near, n_parts)
-        router.visits = self._visits(router, x, near, n_parts)
+        unseen = np.random.default_rng(self.seed).random(len(x)) < self.held_out
+        if unseen.sum() < 2 * self.k or (~unseen).sum() < 2 * self.per_part:
+            unseen[:] = False  # too few to be told apart: one part
+        seen = x[~unseen]
+        n_parts = int(np.clip(len(seen) // self.per_part, 1, self.max_parts)) if unseen.any() else 1
+        graph, _ = self._graph(seen, 0)
+        part = balanced_parts(seen, graph, n_parts)
+        router = self._train(seen, part, graph, n_parts)
+        # as many neighbours as fall into the share of the rows that is measured
+        k = max(1, round(self.k * unseen.mean()))
+        router.visits = n_parts if n_parts == 1 else self._visits(router, x[unseen], self._graph(x[unseen], k)[1], n_parts)
         return router
 
-    def _graph(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Nearest neighbours in the sample: a few for the graph, ``k`` of some rows to measure recall."""
-        degree, k = min(self.graph_degree, len(x) - 1), min(self.k, len(x) - 1)
+    def _graph(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Nearest neighbours among the rows: a few for the graph, ``k`` to measure recall."""
+        degree, k = min(self.graph_degree, len(x) - 1), min(k, len(x) - 1)
         near = np.empty((len(x), max(degree, k)), np.int64)
         for low in range(0, len(x), 1_000):
             score = x[low : low + 1_000] @ x.T
@@ -155,7 +167,7 @@ class LearnedPartitions:
         return Router(*weights, visits=1, dimension=x.shape[1])
 
     def _visits(self, router: Router, x: np.ndarray, near: np.ndarray, n_parts: int) -> int:
-        """The fewest visited parts that hold ``recall`` of the neighbours of the sampled rows."""
+        """The fewest visited parts that hold ``recall + margin`` of the neighbours of the rows ``x``."""
         if near.shape[1] == 0:
             return n_parts
         order = router.parts(x, n_parts)
@@ -163,7 +175,7 @@ class LearnedPartitions:
         np.put_along_axis(place, order, np.broadcast_to(np.arange(n_parts), order.shape), 1)
         reached = np.take_along_axis(place, order[:, 0][near], 1)
         share = np.cumsum(np.bincount(reached.ravel(), minlength=n_parts)) / reached.size
-        return int(np.searchsorted(share, self.recall) + 1)
+        return min(n_parts, int(np.searchsorted(share, min(self.recall + self.margin, 1.0)) + 1))
 
     def search(self, vectors: DataFrame, is_query) -> DataFrame:
         """``query_id, rank, vec_id, score`` for every valid row of ``vectors`` for which ``is_query`` holds."""
@@ -198,16 +210,33 @@ class LearnedPartitions:
             asked.join(filed.select("embedding", "entry"), "embedding").select("vec_id", "entry").distinct(), "asked"
         )
         wanted = fitting.join(asked.select("entry").distinct(), "entry", "left_semi")
-        sent = map_batches(wanted, route(router.visits), shape).select("entry", "embedding", F.explode("parts").alias("part"))
-        sent = sent.join(blocks, "part").select(
-            "part", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"), "entry", "embedding"
-        )
-        best = sent.groupBy("part", "block").cogroup(index.groupBy("part", "block")).applyInPandas(
-            self._measure(), "entry bigint, found array<struct<loss:double,vec_id:bigint>>"
-        )
-        merged = best.groupBy("entry").agg(
-            F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, self.k + 1).alias("found")
-        )
+        n_parts = len(router.out_bias)
+
+        def nearest(queries: DataFrame, visits: int) -> DataFrame:
+            sent = map_batches(queries, route(visits), shape).select("entry", "embedding", F.explode("parts").alias("part"))
+            sent = settle(sent, "sent")
+            asking = sent.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / self.query_rows).cast("int").alias("m"))
+            asking = F.broadcast(asking)  # a row per part
+            left = sent.join(blocks, "part").join(asking, "part").select(
+                "part", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"),
+                F.pmod(F.xxhash64("entry"), F.col("m")).cast("int").alias("row"), "entry", "embedding",
+            )
+            right = index.join(asking, "part").withColumn("row", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).drop("m")
+            keys = ["part", "block", "row"]
+            best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+                self._measure(), "entry bigint, part int, found array<struct<loss:double,vec_id:bigint>>"
+            )
+            first = F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, self.k + 1).alias("found")
+            return best.groupBy("entry", "part").agg(first).groupBy("entry").agg(first)
+
+        merged = settle(nearest(wanted, router.visits), "merged")
+        if router.visits < n_parts:
+            few = merged.where(F.size("found") <= self.k).select("entry")
+            again = wanted.select("entry").join(merged.where(F.size("found") > self.k), "entry", "left_anti").union(few).distinct()
+            again = settle(again, "again")
+            if not again.isEmpty():
+                rest = nearest(wanted.join(again, "entry", "left_semi"), n_parts)
+                merged = merged.join(again, "entry", "left_anti").unionByName(rest)
         listed = asked.join(merged, "entry").select(
             F.col("vec_id").alias("query_id"),
             F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("vec_id")), 1, self.k).alias("found"),
@@ -222,7 +251,7 @@ class LearnedPartitions:
     def _measure(self):
         keep = self.k + 1
 
-        def measure(queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+        def measure(key: tuple, queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
             rows = []
             if len(queries) and len(index):
                 index = index.sort_values("entry")
@@ -236,8 +265,8 @@ class LearnedPartitions:
                         edge = np.partition(own, -keep)[-keep] if len(own) > keep else -np.inf
                         top = np.flatnonzero(own >= edge)
                         found = sorted((-own[i], int(x)) for i in top for x in lists[i])[:keep]
-                        rows.append((name, [{"loss": a, "vec_id": b} for a, b in found]))
-            return pd.DataFrame(rows, columns=["entry", "found"])
+                        rows.append((name, key[0], [{"loss": a, "vec_id": b} for a, b in found]))
+            return pd.DataFrame(rows, columns=["entry", "part", "found"])
 
         return measure
 
