@@ -485,6 +485,26 @@ def decision_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sparse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.labeled(spark, sf_dir)
+    return features.sparse_features(rows, features.category_index(rows))
+
+
+@query
+def sparse_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features that are not 0."""
+    return sparse_rows(spark, sf_dir).select("row_id", "label", F.explode("entries").alias("e")).select(
+        "row_id", "label", F.col("e.feature").alias("pos"), F.col("e.value").alias("x")
+    )
+
+
+@query
+def sparse_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree over sparse features."""
+    nodes = numbered(grown(sparse_rows(spark, sf_dir)))
+    return nodes.select("node_id", "depth", or_none("feature"), "split", places("gain", 9), "n", "n_pos", "prediction")
+
+
 @query
 def leaf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(tree.leaf_predictions(grown(vectors(spark, sf_dir))))

@@ -103,3 +103,86 @@ def _joined(rows: DataFrame, values: DataFrame) -> DataFrame:
     found = balanced_join(long, values, ["feature", "value"], ["row_id"])
     lists = found.groupBy("row_id", "label").agg(F.sort_array(F.collect_list(F.struct("feature", "code"))).alias("c"))
     return lists.select("row_id", F.transform("c", lambda c: c["code"]).alias("codes"), "label")
+
+
+@dataclass(frozen=True)
+class CodedEntries:
+    """Sparse rows: ``rows`` (row_id, entries of feature and code, label), ``values`` (feature, code, value).
+
+    What a row does not list is 0, whose code ``zeros`` (feature, zero) tells.
+    """
+
+    rows: DataFrame
+    values: DataFrame
+    zeros: DataFrame
+    widest: int
+
+    def with_values(self, df: DataFrame) -> DataFrame:
+        """Add ``value`` to rows with ``feature, code``."""
+        return df.join(self.values.hint("shuffle_hash"), ["feature", "code"]).select(*df.columns, "value")
+
+    def with_zeros(self, df: DataFrame) -> DataFrame:
+        """Add ``zero``, the code of 0, to rows with ``feature``."""
+        return df.join(self.zeros.hint("shuffle_hash"), "feature").select(*df.columns, "zero")
+
+
+def code_entries(rows: DataFrame) -> CodedEntries:
+    """The codes of sparse ``rows`` (row_id, entries, label); ``entries`` lists features and values that are not 0, each feature once.
+
+    An absent value counts as NaN. A value that is 0 may be listed; it counts as left out.
+    """
+    kept = spread(rows.select("row_id", "entries", "label"))
+    held = F.transform("entries", lambda e: F.struct(e["feature"].alias("feature"), F.coalesce(e["value"], F.lit(float("nan"))).alias("value")))
+    kept = kept.withColumn("entries", F.filter(held, lambda e: e["value"] != 0.0))
+    listed = kept.select(F.explode("entries").alias("e")).select("e.feature", "e.value").distinct()
+    listed = settle(listed, "distinct")
+    zero = listed.select("feature").distinct().withColumn("value", F.lit(0.0))
+    ranked = running_totals(
+        chunked(listed.unionByName(zero), ["feature", "value"], "values"), ["feature"], ["value"], {"values": "1"}
+    )
+    values = settle(ranked.select("feature", F.col("before_values").cast("int").alias("code"), "value"), "values")
+    zeros = settle(values.where("value = 0").select("feature", F.col("code").alias("zero")), "zeros")
+    n, widest = values.agg(F.count(F.lit(1)), F.coalesce(F.max("code") + 1, F.lit(0))).first()
+    if n <= BROADCAST_VALUES:
+        coded = _searched_entries(kept, rows.sparkSession.sparkContext.broadcast(_flat(values)))
+    else:
+        long = kept.select("row_id", "label", F.explode_outer("entries").alias("e")).select("row_id", "label", "e.feature", "e.value")
+        found = balanced_join(long.where("feature is not null"), values, ["feature", "value"], ["row_id"])
+        lists = found.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("feature", "code"))).alias("entries"))
+        nothing = F.array().cast("array<struct<feature:int,code:int>>")
+        coded = kept.select("row_id", "label").join(lists, "row_id", "left").select("row_id", F.coalesce("entries", nothing).alias("entries"), "label")
+    return CodedEntries(settle(coded, "coded"), values, zeros, widest)
+
+
+def _flat(values: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all features in order, and where each feature begins."""
+    table = values.orderBy("feature", "code").toArrow()
+    features = table.column("feature").to_numpy()
+    width = int(features[-1]) + 1 if len(features) else 0
+    return table.column("value").to_numpy(), np.searchsorted(features, np.arange(width + 1))
+
+
+def _searched_entries(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, bounds = shared.value
+        for batch in batches:
+            lists = batch.column("entries")
+            sizes = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+            flat = lists.flatten()
+            feature = flat.field("feature").to_numpy(zero_copy_only=False)
+            value = flat.field("value").to_numpy(zero_copy_only=False)
+            # all entries search the values of their own feature at once, NaN above all
+            low, high = bounds[feature], bounds[feature + 1] if len(feature) else bounds[feature]
+            while (low < high).any():
+                middle = np.minimum((low + high) >> 1, len(values) - 1)
+                below = (low < high) & ((values[middle] < value) | (np.isnan(value) & ~np.isnan(values[middle])))
+                low, high = np.where(below, middle + 1, low), np.where(below | (low >= high), high, middle)
+            codes = (low - bounds[feature]).astype(np.int32) if len(feature) else np.zeros(0, np.int32)
+            pairs = pa.StructArray.from_arrays([pa.array(feature, pa.int32()), pa.array(codes)], ["feature", "code"])
+            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row_id"), pa.ListArray.from_arrays(offsets, pairs), batch.column("label")], ["row_id", "entries", "label"]
+            )
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(code, f"row_id {kinds['row_id']}, entries array<struct<feature:int,code:int>>, label {kinds['label']}")

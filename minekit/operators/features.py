@@ -46,6 +46,23 @@ def one_hot_features(rows: DataFrame, index: DataFrame) -> DataFrame:
     return placed.select(*rows.columns, one_hot.alias("one_hot"))
 
 
+def sparse_features(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """``row_id, entries, label``: position and value of the features that are not 0, in the positions of ``feature_vectors``.
+
+    A row holds one entry for its category, however many there are, and one for each number.
+    """
+    last = index.agg(F.max("position")).scalar()
+    keyed = rows.select("*", _named().alias("_category")).withColumn("_last", last)
+    placed = lookup_join(keyed, index.withColumnRenamed("category", "_category"), "_category", "row_id")
+
+    def entry(feature: Column, value: Column) -> Column:
+        return F.struct(feature.cast("int").alias("feature"), value.alias("value"))
+
+    numbers = F.transform("numbers", lambda x, at: entry(F.col("_last") + 1 + at, to_number(x)))
+    listed = F.concat(F.array(entry(F.col("position"), F.lit(1.0))), numbers)
+    return placed.select("row_id", F.filter(listed, lambda e: e["value"] != 0.0).alias("entries"), "label")
+
+
 def feature_vectors(rows: DataFrame, index: DataFrame) -> DataFrame:
     """``row_id, features, label``: the one-hot category followed by the numbers, ``?`` read as 0."""
     return one_hot_features(rows, index).select(

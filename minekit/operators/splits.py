@@ -57,6 +57,13 @@ def candidate_codes(rows: DataFrame, wanted: int, widest: int) -> DataFrame:
     up to one block each node and feature is one bitmap, beyond that the blocks with candidates are found from their numbers of bits first.
     """
     long = rows.select("node_id", F.posexplode("codes").alias("feature", "code"))
+    lists = _candidate_lists(long, wanted, widest)
+    by_feature = lists.groupBy("node_id").agg(F.sort_array(F.collect_list(F.struct("feature", "codes"))).alias("f"))
+    return by_feature.select("node_id", F.transform("f", lambda x: x["codes"]).alias("candidates"))
+
+
+def _candidate_lists(long: DataFrame, wanted: int, widest: int) -> DataFrame:
+    """``node_id, feature, codes``: the ascending candidates of ``long`` (node_id, feature, code)."""
     words = long.groupBy(*CELL, F.shiftright("code", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, code & 63))").alias("bits"))
     maps = words.groupBy(*CELL, F.expr("word div " + str(WORDS)).alias("block")).agg(
         F.collect_list(F.struct("word", "bits")).alias("words"), F.sum(F.bit_count("bits")).cast("int").alias("held")
@@ -68,9 +75,7 @@ def candidate_codes(rows: DataFrame, wanted: int, widest: int) -> DataFrame:
         listed = maps.groupBy(*CELL).agg(F.collect_list(F.struct("block", "held")).alias("blocks"))
         wanted_blocks = _ranks_by_block(listed, wanted).hint("shuffle_hash")
         picked = _picked(maps.join(wanted_blocks, [*CELL, "block"]), wanted)
-    lists = picked.groupBy(*CELL).agg(F.sort_array(F.flatten(F.collect_list("codes"))).alias("codes"))
-    by_feature = lists.groupBy("node_id").agg(F.sort_array(F.collect_list(F.struct("feature", "codes"))).alias("f"))
-    return by_feature.select("node_id", F.transform("f", lambda x: x["codes"]).alias("candidates"))
+    return picked.groupBy(*CELL).agg(F.sort_array(F.flatten(F.collect_list("codes"))).alias("codes"))
 
 
 def _ranks_by_block(listed: DataFrame, wanted: int) -> DataFrame:
@@ -132,6 +137,39 @@ def coded_candidates(rows: DataFrame, wanted: int, widest: int) -> DataFrame:
     below = F.transform("codes", lambda code, f: F.element_at(F.filter(F.get("candidates", f), lambda c: c <= code), -1))
     long = placed.select("node_id", "label", F.posexplode(below).alias("feature", "code"))
     counts = long.groupBy(*CELL, "code").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") > 0).alias("n_pos"))
+    return _left_counts(counts)
+
+
+def sparse_candidates(rows: DataFrame, zeros: DataFrame, wanted: int, widest: int) -> DataFrame:
+    """The same for sparse ``rows`` (node_id, row_id, entries, label); ``zeros`` (feature, zero) tells the code of 0.
+
+    Only listed values are counted. The rows of a node that do not list a feature are its rows less those that do. A feature that no row of a
+    node lists has one value there and cannot split it, so it has no candidates.
+    """
+    positive = F.count_if(F.col("label") > 0).alias("n_pos")
+    totals = rows.groupBy("node_id").agg(F.count(F.lit(1)).alias("n"), positive)
+    long = rows.select("node_id", "label", F.explode("entries").alias("e")).select("node_id", "label", "e.feature", "e.code")
+    listed = long.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n_listed"), positive.alias("pos_listed"))
+    absent = settle(
+        listed.join(totals.hint("shuffle_hash"), "node_id").where("n_listed < n").join(zeros.hint("shuffle_hash"), "feature").select(
+            *CELL, F.col("zero").alias("code"), (F.col("n") - F.col("n_listed")).alias("n"), (F.col("n_pos") - F.col("pos_listed")).alias("n_pos")
+        ),
+        "absent",
+    )
+    found = settle(_candidate_lists(long.select(*CELL, "code").unionByName(absent.select(*CELL, "code")), wanted, widest), "candidates")
+
+    def floor_code(df: DataFrame, spread: list[str]) -> DataFrame:
+        met = df.join(F.broadcast(found), CELL) if small else balanced_join(df, found, CELL, spread)
+        return met.withColumn("code", F.element_at(F.filter("codes", lambda c: c <= F.col("code")), -1))
+
+    small = (found.agg(F.sum(F.size("codes") + 2)).first()[0] or 0) <= BROADCAST_CANDIDATES
+    present = long.groupBy(*CELL, "code").agg(F.count(F.lit(1)).alias("n"), positive)
+    counts = floor_code(present.unionByName(absent.select(*present.columns)), ["code"])
+    return _left_counts(counts.groupBy(*CELL, "code").agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos")))
+
+
+def _left_counts(counts: DataFrame) -> DataFrame:
+    """Add the rows below each candidate to ``counts`` (node_id, feature, code, n, n_pos) of the rows from one candidate to the next."""
     parts = counts.groupBy(*CELL).agg(
         F.collect_list(F.struct("code", "n", "n_pos")).alias("parts"), F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos")
     )

@@ -34,6 +34,14 @@ def node_number(node: Column) -> Column:
     return F.conv(node, 2, 10).cast("bigint")
 
 
+def value_of(held: str, feature: Column) -> Column:
+    """The value of a feature in the column ``features``, or in ``entries``, where a feature that is not listed is 0."""
+    if held == "features":
+        return F.get("features", feature)
+    listed = F.filter("entries", lambda e: e["feature"] == feature)
+    return F.when(F.size(listed) > 0, F.get(listed, F.lit(0))["value"]).otherwise(0.0)
+
+
 def split_rows(rows: DataFrame, splits: DataFrame) -> DataFrame:
     """Move rows from their node to its child; rows of nodes without a split are left out."""
     moved = lookup_join(rows, splits.select("node_id", "feature", "split"), "node_id", "row_id")
@@ -76,8 +84,30 @@ class PackedTree:
         return at
 
 
+    def sparse_leaves(self, lists: pa.Array) -> np.ndarray:
+        """The same for lists of entries (feature, value); what a row does not list is 0."""
+        sizes = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+        flat = lists.flatten()
+        feature = flat.field("feature").to_numpy(zero_copy_only=False).astype(np.int64)
+        width = max(int(feature.max(initial=0)), int(self.feature.max(initial=0))) + 1
+        keys = np.repeat(np.arange(len(sizes)), sizes) * width + feature
+        order = np.argsort(keys, kind="stable")
+        keys = np.append(keys[order], -1)
+        values = np.append(flat.field("value").fill_null(float("nan")).to_numpy(zero_copy_only=False)[order], 0.0)
+        at = np.full(len(sizes), int(np.flatnonzero(self.names == ROOT)[0]), np.int32)
+        moving = np.flatnonzero(self.feature[at] >= 0)
+        while len(moving):
+            here = at[moving]
+            wanted = moving * width + self.feature[here]
+            place = np.searchsorted(keys[:-1], wanted)
+            value = np.where(keys[place] == wanted, values[place], 0.0)
+            at[moving] = np.where(value < self.split[here], self.left[here], self.right[here])
+            moving = moving[self.feature[at[moving]] >= 0]
+        return at
+
+
 def tree_predictions(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``row_id, label, node_id, prediction``: the leaf and class of each row.
+    """``row_id, label, node_id, prediction``: the leaf and class of each row, with ``features`` or sparse ``entries``.
 
     A tree of measured size travels whole, as flat arrays, and rows walk it where they lie. A larger one is cut into pieces of
     some levels that rows meet by joins.
@@ -87,11 +117,12 @@ def tree_predictions(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         return _by_pieces(rows, nodes)
     packed = PackedTree.of(nodes.select("node_id", "feature", "split", "prediction").toArrow())
     shared = rows.sparkSession.sparkContext.broadcast(packed)
+    sparse = "entries" in rows.columns
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
         for batch in batches:
-            at = tree.leaves(batch.column("features"))
+            at = tree.sparse_leaves(batch.column("entries")) if sparse else tree.leaves(batch.column("features"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id"), batch.column("label"), pa.array(tree.names[at], pa.string()), pa.array(tree.prediction[at], pa.int32())],
                 ["row_id", "label", "node_id", "prediction"],
@@ -99,7 +130,7 @@ def tree_predictions(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = f"row_id {kinds['row_id']}, label {kinds['label']}, node_id string, prediction int"
-    return rows.select("row_id", "features", "label").mapInArrow(walk, schema)
+    return rows.select("row_id", "entries" if sparse else "features", "label").mapInArrow(walk, schema)
 
 
 def _by_pieces(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -108,7 +139,8 @@ def _by_pieces(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     root = F.substring("node_id", F.lit(1), (F.expr(f"(length(node_id) - 1) div {CHUNK_LEVELS}") * levels + 1).cast("int"))
     entry = F.struct("node_id", F.struct("feature", "split", "prediction").alias("e"))
     pieces = settle(nodes.groupBy(root.alias("root")).agg(F.map_from_entries(F.collect_list(entry)).alias("piece")), "pieces")
-    at = rows.select(F.lit(ROOT).alias("root"), "row_id", "features", "label")
+    held = "entries" if "entries" in rows.columns else "features"
+    at = rows.select(F.lit(ROOT).alias("root"), "row_id", held, "label")
     done = []
     for depth in range(0, (nodes.agg(F.max(F.length("node_id"))).first()[0] or 1), CHUNK_LEVELS):
         here = pieces.where(F.length("root") == depth + 1)
@@ -116,13 +148,13 @@ def _by_pieces(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
         def step(node: Column, _: Column) -> Column:
             own = F.col("piece")[node]
-            below = F.element_at("features", own["feature"] + 1) < own["split"]
+            below = value_of(held, own["feature"]) < own["split"]
             return F.when(own["feature"].isNull(), node).otherwise(child(node, below))
 
         end = F.aggregate(F.sequence(F.lit(1), levels), F.col("root"), step)
-        walked = settle(met.select("row_id", "features", "label", end.alias("root"), F.col("piece")[end].alias("own")), "walked")
+        walked = settle(met.select("row_id", held, "label", end.alias("root"), F.col("piece")[end].alias("own")), "walked")
         done.append(walked.where("own is not null").select("row_id", "label", F.col("root").alias("node_id"), "own.prediction"))
-        at = walked.where("own is null").select("root", "row_id", "features", "label")
+        at = walked.where("own is null").select("root", "row_id", held, "label")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)

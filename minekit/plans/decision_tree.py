@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from minekit.functions.columns import majority
 from minekit.functions.storage import Stored, settle, stored
-from minekit.operators.codes import Coded, code_values
+from minekit.operators.codes import Coded, CodedEntries, code_entries, code_values
 from minekit.operators.features import lookup_join
 from minekit.operators.splits import (
     best_split,
@@ -18,6 +18,7 @@ from minekit.operators.splits import (
     coded_candidates,
     node_entropy,
     split_candidates,
+    sparse_candidates,
     split_gains,
     value_counts,
 )
@@ -26,8 +27,10 @@ from minekit.operators.tree import ROOT, accuracy, child
 STORE_LEVELS = 4
 
 
-def level_candidates(routed: DataFrame, coded: Coded, candidates: int) -> DataFrame:
-    """``node_id, feature, code, left_n, left_pos, n, n_pos`` of all nodes of ``routed`` (node_id, row_id, codes, label)."""
+def level_candidates(routed: DataFrame, coded: Coded | CodedEntries, candidates: int) -> DataFrame:
+    """``node_id, feature, code, left_n, left_pos, n, n_pos`` of all nodes of ``routed`` (node_id, row_id, codes or entries, label)."""
+    if isinstance(coded, CodedEntries):
+        return sparse_candidates(routed, coded.zeros, candidates, coded.widest)
     if candidates > 0:
         return coded_candidates(routed, candidates, coded.widest)
     # every value is a candidate
@@ -35,7 +38,7 @@ def level_candidates(routed: DataFrame, coded: Coded, candidates: int) -> DataFr
     return split_candidates(long, 0).withColumnRenamed("value", "code")
 
 
-def feature_splits(routed: DataFrame, coded: Coded, candidates: int = 10) -> DataFrame:
+def feature_splits(routed: DataFrame, coded: Coded | CodedEntries, candidates: int = 10) -> DataFrame:
     """``node_id, feature, code, split, gain, left_n, left_pos, n, n_pos``: the best split of every node and feature."""
     gains = split_gains(level_candidates(routed, coded, candidates)).withColumnRenamed("code", "value")
     return coded.with_values(best_split_per_feature(gains).withColumnRenamed("split", "code")).withColumnRenamed("value", "split")
@@ -67,7 +70,7 @@ class DecisionTree:
         return (n > self.min_leaf) & (n_pos > 0) & (n_pos < n) & F.lit(self.max_depth is None or depth < self.max_depth)
 
     def fit(self, rows: DataFrame) -> DataFrame:
-        """The node table of a tree over ``row_id, features, label``.
+        """The node table of a tree over ``row_id, features, label``, or over sparse rows ``row_id, entries, label``.
 
         Columns: ``node_id, depth, feature, split, gain, left, right, n, n_pos, prediction``; nodes are paths (see
         ``operators.tree``); feature, split, gain and children are null in leaves. Values are turned into ranks once. One search per level
@@ -75,7 +78,7 @@ class DecisionTree:
         levels the rows of open nodes are stored anew and the older copy is removed, so no plan grows with the depth. A child's
         counts come from its parent's split, so no level is counted again.
         """
-        coded = code_values(rows)
+        coded = code_entries(rows) if "entries" in rows.columns else code_values(rows)
         routed = coded.rows.withColumn("node_id", F.lit(ROOT))
         level = settle(node_entropy(routed).select("node_id", "n", "n_pos"), "nodes")
         parts, held, depth = [], None, 0
@@ -86,6 +89,8 @@ class DecisionTree:
                 routed = held.table
             found = feature_splits(routed, coded, self.candidates).where("gain > 0")
             splits = best_split(found).select("node_id", "feature", "code", "split", "gain", "left_n", "left_pos", "n", "n_pos")
+            if isinstance(coded, CodedEntries):
+                splits = coded.with_zeros(splits)
             splits = settle(splits.select("*", *self._sides(depth + 1)), "splits")
             parts.append(level.join(splits.select("node_id", "feature", "split", "gain"), "node_id", "left").withColumn("depth", F.lit(depth)))
             level = splits.select(F.explode(F.array("below", "above")).alias("child")).select("child.node_id", "child.n", "child.n_pos")
@@ -124,10 +129,17 @@ class DecisionTree:
 
 def _routed(rows: DataFrame, splits: DataFrame) -> DataFrame:
     """Coded rows at the children of their nodes; those of leaves are left out."""
-    moved = lookup_join(rows, splits.select("node_id", "feature", "code", "below", "above"), "node_id", "row_id")
-    side = F.when(F.element_at("codes", F.col("feature") + 1) < F.col("code"), F.col("below")).otherwise(F.col("above"))
-    at = moved.select("row_id", "codes", "label", side.alias("_at")).where("_at.opened")
-    return at.select("row_id", "codes", "label", F.col("_at.node_id").alias("node_id"))
+    held = "entries" if "entries" in rows.columns else "codes"
+    known = [c for c in ("node_id", "feature", "code", "zero", "below", "above") if c in splits.columns]
+    moved = lookup_join(rows, splits.select(known), "node_id", "row_id")
+    if held == "codes":
+        own = F.get("codes", F.col("feature"))
+    else:
+        listed = F.filter("entries", lambda e: e["feature"] == F.col("feature"))
+        own = F.coalesce(F.get(listed, F.lit(0))["code"], F.col("zero"))
+    side = F.when(own < F.col("code"), F.col("below")).otherwise(F.col("above"))
+    at = moved.select("row_id", held, "label", side.alias("_at")).where("_at.opened")
+    return at.select("row_id", held, "label", F.col("_at.node_id").alias("node_id"))
 
 
 def _stored_again(rows: DataFrame, older: Stored | None) -> Stored:

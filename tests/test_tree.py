@@ -194,3 +194,40 @@ def test_codes_by_a_join_equal_those_by_search(spark, monkeypatch):
 def test_candidates_too_many_to_broadcast(spark, monkeypatch):
     monkeypatch.setattr("minekit.operators.splits.BROADCAST_CANDIDATES", 0)
     assert (best := search_splits(at_root(rows(spark, DATA)), 10).first()) and (best.gain, best.split, best.feature) == pytest.approx(brute(DATA, 10))
+
+
+def sparse(df):
+    entries = F.filter(
+        F.transform("features", lambda x, at: F.struct(at.cast("int").alias("feature"), x.alias("value"))), lambda e: e["value"] != 0
+    )
+    return df.select("row_id", entries.alias("entries"), "label")
+
+
+@pytest.mark.parametrize("bound", [4_000_000, 0])
+def test_sparse_rows_give_the_same_tree(spark, monkeypatch, bound):
+    monkeypatch.setattr("minekit.operators.codes.BROADCAST_VALUES", bound)
+    monkeypatch.setattr("minekit.operators.splits.BROADCAST_CANDIDATES", bound)
+    data = [((i % 13 - 6, (i * 7) % 31 if i % 3 else 0, i % 2, 0), y) for i, (_, y) in enumerate(DATA)]
+    df = rows(spark, data)
+    fit = DecisionTree(min_leaf=20, candidates=10)
+    dense, thin = fit.fit(df), fit.fit(sparse(df))
+    assert sorted(map(tuple, dense.collect()), key=str) == sorted(map(tuple, thin.collect()), key=str)
+    assert dense.count() > 5
+    want = sorted(map(tuple, tree_predictions(df, dense).collect()))
+    assert sorted(map(tuple, tree_predictions(sparse(df), thin).collect())) == want
+    monkeypatch.setattr("minekit.operators.tree.PACKED_NODES", 0)
+    assert sorted(map(tuple, tree_predictions(sparse(df), thin).collect())) == want
+
+
+def test_a_hundred_thousand_categories(spark):
+    n = 100_000
+    data = spark.range(2 * n).selectExpr(
+        "id as row_id", "concat('c', id % 100000) as category", "array(cast(id % 10 as string)) as numbers", "cast(id % 10 < 3 or id % 100000 = 77 as double) as label"
+    )
+    thin = features.sparse_features(data, features.category_index(data))
+    assert thin.agg(F.max(F.size("entries"))).first()[0] == 2
+    nodes = DecisionTree(min_leaf=10, max_depth=2).fit(thin).orderBy("node_id").collect()
+    # the number first; then the one category that departs from it
+    assert [(r.node_id, r.feature, r.split) for r in nodes if r.feature is not None][0] == ("1", n, 3.0)
+    index = {r.category: r.position for r in features.category_index(data).where("category = 'c77'").collect()}
+    assert ("11", index["c77"], 1.0) in [(r.node_id, r.feature, r.split) for r in nodes]
