@@ -189,14 +189,38 @@ def known_texts() -> dict[str, list[str]]:
     return out
 
 
+def _lowered(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _marked(lowered: Column) -> Column:
+    """Whether a lower-cased text can hold a notice of copyright at all."""
+    marks = [F.contains(lowered, F.lit(m)) for m in ("copyright", "(c)", "©", "&copy;")]
+    return marks[0] | marks[1] | marks[2] | marks[3]
+
+
+def _plain(lowered: Column) -> Column:
+    for spelling, same in SPELLINGS:
+        lowered = F.replace(lowered, F.lit(spelling), F.lit(same))
+    return F.trim(F.regexp_replace(lowered, "[^a-z0-9]+", " "))
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of a text; empty if nothing is left, null for null."""
     for notice in NOTICES:
         text = F.regexp_replace(text, notice, "")
-    plain = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    for spelling, same in SPELLINGS:
-        plain = F.replace(plain, F.lit(spelling), F.lit(same))
-    return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
+    return _plain(_lowered(text))
+
+
+def beginnings(firsts: list[str]) -> str:
+    """What a line without notices begins with, before spellings are unified, if its form begins with one of ``firsts``."""
+    out = set(firsts)
+    for first in firsts:
+        for spelling, same in SPELLINGS:
+            lead = re.match("[a-z0-9]*", spelling)[0]
+            # a spelling may also run over the end of the first word, or make two words of it
+            out |= {first[:i] + lead for i in range(len(first) + 1) if lead and same.startswith(first[i : i + len(same)])}
+    return "|".join(sorted(x for x in out if x))
 
 
 def known_digests(spark: SparkSession, known: dict[str, str | list[str]]) -> DataFrame:
@@ -222,14 +246,21 @@ def license_scan(docs: DataFrame, known: dict[str, str | list[str]] | None = Non
     firsts = sorted({r.first_word for r in listed}) or [""]
     names = F.from_json(F.lit(json.dumps({r.digest: r.license for r in listed})), "map<string,string>")  # one literal
 
-    # only forms of a known length and first word are digested
-    forms = F.filter(F.transform(F.split("text", "\n"), canonical), lambda x: F.length(x).isin(lengths) & F.substring_index(x, " ", 1).isin(firsts))
+    # lines that cannot begin a known form, and texts without such lines, are not brought to their form
+    begins = rf"^[^a-z0-9\n]*(?:{beginnings(firsts)})"
+    low = docs.select("doc_id", "text", _lowered(F.col("text")).alias("low"))
+    low = low.select("*", _marked(F.col("low")).alias("marked"))
+    lines = F.filter(F.split("text", "\n"), lambda x: _marked(_lowered(x)) | F.rlike(_lowered(x), F.lit(begins)))
+    forms = F.filter(F.transform(lines, canonical), lambda x: F.length(x).isin(lengths) & F.substring_index(x, " ", 1).isin(firsts))
     found = F.filter(F.transform(forms, lambda x: F.element_at(names, F.sha2(x, 256))), lambda x: x.isNotNull())
-    form = canonical(F.col("text"))
-    rows = docs.select(
+    notices = F.when(
+        F.col("marked") | F.rlike(F.col("low"), F.lit("(?m)" + begins)), F.array_join(F.array_sort(F.array_distinct(found)), ",")
+    )
+    form = F.when(F.col("marked"), canonical(F.col("text"))).otherwise(_plain(F.col("low")))
+    rows = low.select(
         "doc_id",
-        F.when(form != "", F.sha2(form, 256)).alias("digest"),
-        F.coalesce(F.array_join(F.array_sort(F.array_distinct(found)), ","), F.lit("")).alias("notices"),
+        F.sha2(F.nullif(form, F.lit("")), 256).alias("digest"),
+        F.coalesce(notices, F.lit("")).alias("notices"),
     )
     return rows.join(F.broadcast(digests), "digest", "left").select(
         "doc_id", "digest", "license", "notices"
