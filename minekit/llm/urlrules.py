@@ -21,10 +21,12 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minekit.functions.skew import balanced_join
 from minekit.functions.storage import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 UNWANTED = "=unwanted"
+BROADCAST_RULES = 100_000
 
 
 @dataclass(frozen=True)
@@ -130,7 +132,14 @@ class UrlFilter:
         rows = pages.select("page_id", "url", host_of("url").alias("host"), path_of("url").alias("path"))
         listed = rows.select("*", self._listed().alias("hit"))
         addresses = rows.where("url is not null").select("url", tokens_of("url").alias("tokens")).distinct()
-        met = addresses.select("url", "tokens", F.explode("tokens").alias("anchor")).join(mined, "anchor")
+        anchored = addresses.select("url", "tokens", F.explode("tokens").alias("anchor"))
+        if mined.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
+            met = anchored.join(F.broadcast(mined), "anchor")
+        else:
+            # tokens that no rule is filed under stay where they are
+            anchors = mined.select("anchor").distinct()
+            kept = anchored.join(F.broadcast(anchors), "anchor", "left_semi") if anchors.count() <= BROADCAST_RULES else anchored
+            met = balanced_join(settle(kept, "anchored"), mined, ["anchor"], ["url"], ["antecedent"])
         unwanted = met.where(F.size(F.array_except("antecedent", "tokens")) == 0).select("url").distinct()
         marked = unwanted.select(F.col("url").alias("_url"))
         joined = listed.join(marked, F.col("url") == F.col("_url"), "left")
@@ -159,9 +168,14 @@ class UrlFilter:
         return F.when(F.size(fits) > 0, F.struct(first["rule"].alias("rule"), first["verdict"].alias("verdict")))
 
 
-def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """``url, unwanted``: pages whose address ends in the number of a labelled document; unwanted is low quality."""
+def labelled_pages(pages: DataFrame, labels: DataFrame, unwanted: Column | None = None) -> DataFrame:
+    """``url, unwanted``: pages whose address ends in the number of a labelled document; unwanted is low quality unless told otherwise.
+
+    ``unwanted`` is 0, 1 or null, from the columns of ``labels``.
+    """
     number = F.expr("try_cast(regexp_extract(url, '/([0-9]+)(\\\\.html|/)?([?#].*)?$', 1) as bigint)")
     numbered = pages.select("url", number.alias("_doc")).where("_doc is not null")
-    known = labels.where("quality in (0, 1)").groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(F.max(1 - F.col("quality")).alias("unwanted"))
+    told = F.when(F.col("quality").isin(0, 1), 1 - F.col("quality")) if unwanted is None else unwanted
+    known = labels.select(F.col("doc_id").cast("bigint").alias("_id"), told.cast("int").alias("unwanted")).where("unwanted is not null")
+    known = known.groupBy("_id").agg(F.max("unwanted").alias("unwanted"))
     return numbered.join(known, F.col("_doc") == F.col("_id")).select("url", "unwanted")

@@ -3,12 +3,15 @@
 import hashlib
 import re
 import textwrap
+from pathlib import Path
 
+import pytest
 from edges import edge_docs, no_docs
+from pyspark.sql import functions as F
 
 from minekit.llm.licenses import KNOWN, known_texts, license_scan
 from minekit.llm.queries import URL_RULES
-from minekit.llm.urlrules import UrlFilter, labelled_pages
+from minekit.llm.urlrules import UrlFilter, labelled_pages, tokens_of
 
 URLS = [
     "http://EXAMPLE.com/en/1", "https://www.example.com/en/1?a=b", "https://a.www.example.com/en/", "http://notexample.com/en/x",
@@ -56,6 +59,38 @@ def test_mined_rules_block_what_labels_show(spark):
     assert got[0] == "block" and got[2] == got[3] == "allow"
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="test tables are not present")
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_planted_rules_decide_over_a_whole_table(spark, monkeypatch, bound):
+    """Labels that follow the addresses: mined rules, tried one by one on every address, give the verdicts of all unlisted pages."""
+    monkeypatch.setattr("minekit.llm.urlrules.BROADCAST_RULES", bound)
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    fr = F.col("url").contains("/fr/") | F.col("url").contains("/de/")
+    operator = UrlFilter(URL_RULES)
+    mined = operator.mine(table.select("url", fr.cast("int").alias("unwanted")))
+    rules = [set(r.antecedent) for r in mined.collect()]
+    assert rules
+    tokens = {r.page_id: set(r.tokens) for r in table.select("page_id", tokens_of("url").alias("tokens")).collect()}
+    urls = {r.page_id: r.url for r in table.collect()}
+    got = {r.page_id: r for r in operator.judge(table, mined).collect()}
+    assert got.keys() == urls.keys()
+    blocked = 0
+    for i, url in urls.items():
+        *_, rule, verdict = plain(url)
+        if rule is None:
+            verdict = "block" if any(r <= tokens[i] for r in rules) else "allow"
+            blocked += verdict == "block"
+        assert (got[i].rule, got[i].verdict) == (rule, verdict)
+    assert blocked > 20
+
+
+def test_labels_by_another_column(spark):
+    table = pages(spark, ["http://a/7", "http://a/8", "http://a/9"])
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, None)], "doc_id bigint, toxic int")
+    got = labelled_pages(table, labels, F.col("toxic")).collect()
+    assert sorted(tuple(r) for r in got) == [("http://a/7", 1), ("http://a/8", 0)]
+
+
 def test_labels_meet_pages_by_number(spark):
     table = pages(spark, ["http://a/7", "http://a/x/8.html?q=1", "http://a/b", None, "http://a/99999999999999999999"])
     labels = spark.createDataFrame([(7, 1), (8, 0), (None, 0), (9, None)], "doc_id bigint, quality int")
