@@ -134,10 +134,12 @@ class LanguageEvidence:
             left -= part
         return out
 
-    def judge(self, docs: DataFrame, model: TextModel) -> DataFrame:
+    def judge(self, docs: DataFrame, model: TextModel, pages: DataFrame | None = None) -> DataFrame:
         """``doc_id, mark, lang, text_lang, posterior, kept`` of every row of ``docs``.
 
-        ``docs``: doc_id, text, declared, suffix, host, any of the last three may be null. ``mark`` hashes the text.
+        ``docs``: doc_id, text, declared, suffix, host, any of the last three may be null. ``mark`` hashes the text. ``pages`` (doc_id,
+        declared, suffix, host, one row per id) overrides these three where it has a row and a value; it meets what has been read of the
+        texts, not the texts.
         """
         if len(model.classes) == 1:
             none = F.lit(None).cast("string")
@@ -145,7 +147,13 @@ class LanguageEvidence:
                 F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("mark"), none.alias("lang"),
                 none.alias("text_lang"), F.lit(None).cast("double").alias("posterior"), F.lit(True).alias("kept"),
             )
-        seen = settle(self._read(docs, model), "evidence")
+        seen = self._read(docs, model)
+        if pages is not None:
+            found = pages.select("doc_id", *[F.col(c).alias(f"_{c}") for c in TOLD])
+            seen = seen.join(found, "doc_id", "left").select(
+                "doc_id", "mark", "best", "likelihood", *[F.coalesce(f"_{c}", c).alias(c) for c in TOLD]
+            )
+        seen = settle(self._named(seen, model), "evidence")
         n = len(model.classes)
         counts = seen.where("best >= 0 and other is null")
 
@@ -167,7 +175,7 @@ class LanguageEvidence:
         domains = listed(["domain"], "domain_counts").where("domain is not null")
         suffixes = listed(["suffix"], "suffix_counts").where("suffix is not null")
         judged = (
-            seen.join(hosts, "host", "left").join(domains, "domain", "left").join(suffixes, "suffix", "left")
+            _looked_up(_looked_up(_looked_up(seen, hosts, "host"), domains, "domain"), suffixes, "suffix")
         )
         weight, temper = self.host_weight, self.temper
         zeros = F.array_repeat(F.lit(0).cast("bigint"), n)
@@ -204,34 +212,34 @@ class LanguageEvidence:
         )
 
     def _read(self, docs: DataFrame, model: TextModel) -> DataFrame:
-        """The evidence of each row, without the text; ``best`` is the class of the text, -1 without letters."""
+        """What the text of each row tells, without the text; ``best`` is its class, -1 without letters."""
         shared = docs.sparkSession.sparkContext.broadcast(model)
 
         def read(batches: Iterator[pa.RecordBatch]):
             own = shared.value
-            place = {c: i for i, c in enumerate(own.classes[:-1])}
             for batch in batches:
                 for first, end, raw, offsets in text_slices(batch.column("text")):
                     sums, n = own.likelihoods(raw, offsets)
-                    told = batch.column("declared").slice(first, end - first).to_pylist()
-                    rows = {c: batch.column(c).slice(first, end - first) for c in ("doc_id", "mark", "suffix", "host", "domain")}
-                    yield rows | {
-                        "declared": [None if x is None else place.get(x, -1) for x in told],
-                        "other": pa.array([x if x in own.unmodelled else None for x in told], pa.string()),
+                    yield {c: batch.column(c).slice(first, end - first) for c in ("doc_id", "mark", *TOLD)} | {
                         "best": np.where(n > 0, sums.argmax(1), -1),
                         "likelihood": pa.array(list(sums), pa.list_(pa.float64())),
                     }
 
-        rows = docs.select(
-            F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("mark"), "declared", "suffix", "host",
-            F.regexp_extract("host", r"([^.]+\.[^.]+|[^.]+)$", 1).alias("domain"),
-        )
-        schema = (
-            "doc_id bigint, mark bigint, suffix string, host string, domain string, declared int, other string, best int, "
-            "likelihood array<double>"
-        )
+        rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("mark"), *TOLD)
+        schema = "doc_id bigint, mark bigint, declared string, suffix string, host string, best int, likelihood array<double>"
         return map_batches(rows, read, schema)
 
+    def _named(self, seen: DataFrame, model: TextModel) -> DataFrame:
+        """The declared language as a class, -1 for one without, and ``other``, its name where it is known to the corpus; the host's domain."""
+        classes = model.classes[:-1]
+        listed = [(c, i, None) for i, c in enumerate(classes)] + [(c, -1, c) for c in sorted(model.unmodelled - set(classes))]
+        names = seen.sparkSession.createDataFrame(listed, "declared string, _place int, other string")  # max_declared rows at most
+        rows = seen.join(F.broadcast(names), "declared", "left")
+        return rows.select(
+            "doc_id", "mark", "suffix", "host", F.regexp_extract("host", r"([^.]+\.[^.]+|[^.]+)$", 1).alias("domain"),
+            F.when(F.col("declared").isNotNull(), F.coalesce("_place", F.lit(-1))).alias("declared"), "other", "best", "likelihood",
+        )
+
     def accepted(self, docs: DataFrame, evidence: DataFrame, model: TextModel) -> DataFrame:
         """The rows of ``docs`` (doc_id, text, more) that are kept, judged by ``evidence`` over the same rows."""
         rejected = settle(self.judge(evidence, model).where("not kept").select("doc_id", "mark").distinct(), "rejected")
@@ -244,6 +252,14 @@ class LanguageEvidence:
 
 
 BROADCAST_ROWS = 200_000
+TOLD = ("declared", "suffix", "host")
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join with a table of one row per key. A small one is sent to the rows, so a key that many rows share stays spread."""
+    kept = settle(table, key)
+    few = kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(kept) if few else kept, key, "left")
 
 
 def _sum(values: Column) -> Column:

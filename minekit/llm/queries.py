@@ -63,12 +63,12 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents from their text and, where a page shows them, its markup, address and host."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint"), "text", "lang")
+    none = F.lit(None).cast("string")
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("bigint"), "text", F.col("lang").alias("declared"), none.alias("suffix"), none.alias("host")
+    )
     operator = LanguageEvidence()
-    model = operator.fit(docs.select("text", F.col("lang").alias("declared")))
-    pages = page_evidence(table(spark, sf_dir, "pages"))
-    known = docs.join(pages, "doc_id", "left").withColumn("declared", F.coalesce("declared", "lang"))
-    return operator.judge(known, model).drop("mark")
+    return operator.judge(docs, operator.fit(docs.select("text", "declared")), page_evidence(table(spark, sf_dir, "pages"))).drop("mark")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pytest
 from edges import edge_docs, no_docs
 from pyspark.sql import functions as F
 
@@ -102,3 +104,63 @@ def test_awkward_rows(spark):
     seen = evidence.where("false")
     assert operator.judge(seen, model).collect() == [] and operator.judge(seen, none).collect() == []
     assert all(r.kept for r in operator.judge(evidence, none).collect())
+
+
+def test_posterior_equals_a_plain_bayes_rule(spark):
+    """All evidence multiplied out in plain Python, from the model's table and counts over the judged rows."""
+    operator = LanguageEvidence()
+    model = operator.fit(spark.createDataFrame(list(rows(400)), "doc_id bigint, text string, declared string"))
+    draw = random.Random(5)
+    data = []
+    for i, text, lang in rows(200, seed=6):
+        told = draw.choice([lang, lang, None, "en", "xx"])
+        data.append((i, text, told, draw.choice([None, lang, "org"]), draw.choice([None, f"{lang}.a.org", "b.org", "c.b.org"])))
+    data += [(900, "xq", "de", "org", "b.org"), (901, None, "fr", None, "de.a.org"), (902, "12 3", None, None, None)]
+    n = len(model.classes)
+    likelihood, best = {}, {}
+    for i, text, *_ in data:
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        sums, count = model.likelihoods(raw, np.array([0, len(raw)]))
+        likelihood[i], best[i] = sums[0], int(sums[0].argmax()) if count[0] else -1
+    counts = {"all": np.zeros(n)}
+    domain = lambda h: ".".join(h.split(".")[-2:])
+    for i, _, _, suffix, host in data:
+        if best[i] >= 0:
+            for key in ["all"] + [("s", suffix)] * (suffix is not None) + ([("h", host), ("d", domain(host))] if host else []):
+                counts.setdefault(key, np.zeros(n))[best[i]] += 1
+    prior = (counts["all"] + 1) / (counts["all"].sum() + n)
+    prior[-1] = operator.unknown_prior
+    prior /= prior.sum()
+    told = [(model.classes.index(d) if d in model.classes[:-1] else -1, best[i]) for i, _, d, *_ in data if d and 0 <= best[i] < n - 1]
+    trust = (sum(a == b for a, b in told) + 9) / (len(told) + 10)
+    w, none = operator.host_weight, np.zeros(n)
+    got = {r.doc_id: r for r in operator.judge(table(spark, data), model).collect()}
+    for i, _, declared, suffix, host in data:
+        if best[i] < 0:
+            assert got[i].lang is None and got[i].posterior is None
+            continue
+        d = counts.get(("d", domain(host)), none) if host else none
+        h = counts.get(("h", host), none)
+        in_domain = (d + w * prior) / (d.sum() + w)
+        score = np.exp((likelihood[i] - likelihood[i].max()) * operator.temper) * (h + w * in_domain) / (h.sum() + w)
+        s = counts.get(("s", suffix), none)
+        if s.sum():
+            score *= (s + w * prior) / (s.sum() + w) / prior
+        if declared in model.classes[:-1]:
+            factor = np.full(n, (1 - trust) / (n - 2))
+            factor[model.classes.index(declared)], factor[-1] = trust, 1 / (n - 1)
+            score *= factor
+        score /= score.sum()
+        assert got[i].lang == model.classes[int(score.argmax())]
+        assert got[i].posterior == pytest.approx(score.max())
+
+
+def test_pages_override_what_documents_declare(spark):
+    operator = LanguageEvidence()
+    model = operator.fit(spark.createDataFrame(list(rows(400)), "doc_id bigint, text string, declared string"))
+    data = [(i, t, "xx", None, None) for i, t, _ in rows(50, seed=8)]
+    pages = [(i, lang, lang, f"{lang}.org") for i, _, lang in rows(50, seed=8) if i % 2]
+    both = [(i, t, *next(((d, s, h) for j, d, s, h in pages if j == i), ("xx", None, None))) for i, t, *_ in data]
+    evidence = spark.createDataFrame(pages, "doc_id bigint, declared string, suffix string, host string")
+    by_pages = operator.judge(table(spark, data), model, evidence).collect()
+    assert sorted(map(tuple, by_pages), key=str) == sorted(map(tuple, operator.judge(table(spark, both), model).collect()), key=str)
