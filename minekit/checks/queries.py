@@ -277,12 +277,11 @@ def shingle_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shingle_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Smallest, largest and summed value of each hash over the whole vocabulary."""
+    """The first and last hash of each shingle, and all of them weighted by their places."""
     hashes = minhash.shingle_hashes(SEARCH.shingle_ids(views.docs(spark, sf_dir)), SEARCH.family)
-    cells = hashes.select(F.posexplode(F.array(*SEARCH.family.names())).alias("i", "h"))
-    return cells.groupBy("i").agg(
-        F.min("h").alias("smallest"), F.max("h").alias("largest"), F.sum("h").alias("total")
-    )
+    names = SEARCH.family.names()
+    weighted = F.aggregate(F.array(*[F.col(n) * (i + 1) for i, n in enumerate(names)]), F.lit(0).cast("bigint"), lambda s, h: s + h)
+    return hashes.select("shingle_id", F.col(names[0]).alias("first"), F.col(names[-1]).alias("last"), weighted.alias("weighted"))
 
 
 @query
