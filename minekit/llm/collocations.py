@@ -171,7 +171,7 @@ class Collocations:
         bits = _key_bits(k, word_bits)
         own_shard_bits = min(shard_bits, bits)
         grams, permutation = _Grams(k, word_bits), Permutation(bits)
-        bitmap = None if shorter is None or k < 3 else lists.sparkSession.sparkContext.broadcast(_bitmap(shorter))
+        bitmap = None if shorter is None or k < 3 else lists.sparkSession.sparkContext.broadcast(quotient_bitmap(shorter))
         previous = _Grams(k - 1, word_bits)
         least = self.min_count
 
@@ -313,7 +313,7 @@ class _Grams:
         return out
 
 
-def _bitmap(grams: DataFrame) -> np.ndarray:
+def quotient_bitmap(grams: DataFrame) -> np.ndarray:
     """One bit for each quotient of ``PRUNE_BITS`` bits that a row has; at most 8 MB, whatever the rows."""
     chunk = 1 << _CHUNK_BITS
     rows = grams.groupBy((F.col("place") / chunk).cast("bigint").alias("chunk")).agg(

@@ -2,8 +2,9 @@
 
 A text is the set of its distinct word shingles; ``1 - Jaccard`` is a metric, so distances to a few *pivots* bound all others.
 
-1. Equal sets are one class. Classes that share none of their first shingles (in hash order, as many as a similar set cannot
-   lack) with another class have no neighbour within the radius and leave before any set is moved.
+1. Equal sets are one class. Similar sets share many of their first shingles in hash order: of as many as a similar set may lack, and
+   ``extra`` percent more, at least those ``extra`` percent. Classes that share fewer of them with others have no neighbour within
+   the radius and leave before any set is moved.
 2. The others are laid around pivots: the classes that meet in a shingle which few hold gather around the one of them with the fewest
    shingles of its own. Each class measures its distance to the pivot that it meets in most shingles, then, while it is not
    connected to them, to the others. Those within the radius are linked.
@@ -37,17 +38,22 @@ from pyspark.sql import functions as F
 from minekit.functions.skew import balanced_join
 from minekit.functions.storage import settle
 from minekit.llm.batches import SPACES, Words, map_batches, mixed, text_slices
-from minekit.llm.neardup import BROADCAST_ROWS, connected, shingle_sets
-from minekit.operators.setjoin import counted_pairs, prefix_candidates, rare_prefixes
+from minekit.llm.collocations import PRUNE_BITS, quotient_bitmap
+from minekit.llm.neardup import connected, shingle_sets
+from minekit.operators.setjoin import counted_pairs, needed, prefix_candidates, rare_prefixes
 
 _SALT = np.uint64(0xA24BAED4963EE407)
 _EPSILON = 1e-9
 _COLUMNS = 4096
+BROADCAST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class JaccardJoin:
-    """Words per shingle and similarity in percent; pivots per split, classes and shingles of a region for one task, depth of the recursion."""
+    """Words per shingle and similarity in percent; pivots per split, classes and shingles of a region for one task, depth of the recursion.
+
+    A larger ``extra`` lets more classes leave early and reads more of each set for that.
+    """
 
     shingle: int = 5
     percent: int = 80
@@ -56,6 +62,7 @@ class JaccardJoin:
     leaf_items: int = 1 << 19
     depth: int = 4
     shrink: float = 0.75
+    extra: int = 10
 
     def components(self, docs: DataFrame) -> DataFrame:
         """``doc_id, n_shingles, component_id`` of every row."""
@@ -75,7 +82,8 @@ class JaccardJoin:
         """The classes (``k1, k2, n_shingles, rep, id``) and stored links ``a, b`` between their ids that connect all that are similar."""
         classes, crowd = self._classes(signed)
         aliases = classes.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-        sets = self._sets(docs, crowd)
+        again = signed.where("doc_id is not null").groupBy("doc_id", "k1", "k2").count().where("count > 1")
+        sets = self._sets(docs, crowd, not again.isEmpty())
         near = settle(rare_prefixes(sets.select("id", F.col("id").alias("part"), "items"), self.percent), "prefixes")
 
         # around the pivot of each rare shingle: the class with the fewest shingles of its own
@@ -120,7 +128,7 @@ class JaccardJoin:
 
     def _read(self, docs: DataFrame) -> DataFrame:
         """``doc_id, n_shingles, k1, k2, prefix``: the set of each row by name, and its first hashes."""
-        k, percent = self.shingle, self.percent
+        k, percent, extra = self.shingle, self.percent, self.extra
 
         def read(batches: Iterator[pa.RecordBatch]):
             words = Words(SPACES)
@@ -129,7 +137,7 @@ class JaccardJoin:
                 for first, end, raw, offsets in text_slices(batch.column("text")):
                     sets, bounds = shingle_sets(words, raw, offsets, k)
                     sizes = np.diff(bounds)
-                    room = np.where(sizes > 0, sizes - (sizes * percent + 99) // 100 + 1, 0)
+                    room = np.minimum(sizes, sizes - (sizes * percent + 99) // 100 + np.maximum((sizes * extra + 99) // 100, 1))
                     cuts = np.concatenate(([0], np.cumsum(room)))
                     at = np.arange(cuts[-1]) + np.repeat(bounds[:-1] - cuts[:-1], room)
                     yield {
@@ -144,11 +152,14 @@ class JaccardJoin:
         """All classes with their node ids, and those that share one of their first shingles with another class."""
         keys = ["k1", "k2", "n_shingles"]
         known = signed.where("n_shingles > 0 and doc_id is not null")
-        filed = known.select("k1", "k2", F.explode("prefix").alias("item"))
-        own = F.struct("k1", "k2")
-        shared = settle(filed.groupBy("item").agg(F.min(own).alias("_low"), F.max(own).alias("_high")).where("_low < _high").select("item"), "shared")
+        filed = known.select(*keys, F.explode("prefix").alias("item"))
+        shared = settle(filed.groupBy("item").agg(F.min("k1").alias("_low"), F.max("k1").alias("_high")).where("_low < _high").select("item"), "shared")
         few = shared.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # a number a row
-        crowd = filed.join(F.broadcast(shared) if few else shared, "item", "left_semi").select("k1", "k2").distinct()
+        may = self._may_share(known.select(*keys, "prefix"), shared).select(*keys, F.explode("items").alias("item"))
+        met = may.join(F.broadcast(shared) if few else shared, "item", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        # the share of a similar set may be taken of a smaller one; rows of one class count again, which keeps more
+        least = F.ceil(needed(F.col("n_shingles"), self.percent) * self.extra / 100)
+        crowd = met.where(F.col("n") >= F.greatest(least, F.lit(1))).select("k1", "k2")
         classes = known.groupBy(*keys).agg(F.min("doc_id").alias("rep"))
         # where an id has unlike texts, all but one of its classes get a number behind all ids
         order = Window.partitionBy("rep").orderBy(*keys)
@@ -156,12 +167,43 @@ class JaccardJoin:
         classes = settle(classes.withColumn("id", F.when(F.row_number().over(order) == 1, F.col("rep")).otherwise(behind)), "classes")
         return classes, settle(classes.join(crowd, ["k1", "k2"], "left_semi"), "crowd")
 
-    def _sets(self, docs: DataFrame, crowd: DataFrame) -> DataFrame:
-        """Stored ``id, n, items`` with the full hashed sets of ``crowd``."""
+    def _may_share(self, known: DataFrame, shared: DataFrame) -> DataFrame:
+        """The rows of ``known`` with those ``items`` of their prefix that a bitmap of ``shared`` shows, where these are enough.
+
+        The bitmap has a fixed size. The fuller it is, the more rows pass; none that shares enough is left out.
+        """
+        low_bits = F.col("item").bitwiseAND(F.lit((1 << PRUNE_BITS) - 1))
+        bitmap = known.sparkSession.sparkContext.broadcast(quotient_bitmap(shared.select(low_bits.alias("place"))))
+        percent, extra = self.percent, self.extra
+
+        def show(batches: Iterator[pa.RecordBatch]):
+            bits = bitmap.value
+            for batch in batches:
+                lists = batch.column("prefix")
+                items = lists.flatten().to_numpy(zero_copy_only=False)
+                place = items & ((1 << PRUNE_BITS) - 1)
+                shown = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                sizes = np.asarray(lists.value_lengths()).astype(np.int64)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                held = np.bincount(owner[shown], minlength=len(sizes))
+                n = batch.column("n_shingles").to_numpy()
+                least = np.maximum(-(-((n * percent + 99) // 100) * extra // 100), 1)
+                enough = held >= least
+                kept = items[shown & enough[owner]]
+                cuts = np.concatenate(([0], np.cumsum(held[enough])))
+                rows = pa.array(np.flatnonzero(enough))
+                yield {c: batch.column(c).take(rows) for c in ("k1", "k2", "n_shingles")} | {
+                    "items": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(kept, pa.int64()))
+                }
+
+        return map_batches(known, show, "k1 bigint, k2 bigint, n_shingles bigint, items array<bigint>")
+
+    def _sets(self, docs: DataFrame, crowd: DataFrame, repeated: bool = True) -> DataFrame:
+        """Stored ``id, n, items`` with the full hashed sets of ``crowd``; ``repeated`` tells whether rows come again."""
         k = self.shingle
+        few = crowd.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # a few numbers a row
         wanted = crowd.select(F.col("rep").alias("doc_id")).distinct()
-        if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)
+        wanted = F.broadcast(wanted) if few else wanted
         texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null").join(wanted, "doc_id", "left_semi")
 
         def full(batches: Iterator[pa.RecordBatch]):
@@ -174,8 +216,9 @@ class JaccardJoin:
                     yield {"rep": ids.slice(first, end - first), **_names(sets, bounds), "items": listed}
 
         found = map_batches(texts, full, "rep bigint, k1 bigint, k2 bigint, items array<bigint>")
-        named = found.join(crowd.select("rep", "k1", "k2", "id"), ["rep", "k1", "k2"])
-        return settle(named.select("id", F.size("items").alias("n"), "items").dropDuplicates(["id"]), "sets")
+        listed = crowd.select("rep", "k1", "k2", "id")
+        named = found.join(F.broadcast(listed) if few else listed, ["rep", "k1", "k2"]).select("id", F.size("items").alias("n"), "items")
+        return settle(named.dropDuplicates(["id"]) if repeated else named, "sets")
 
     def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return counted_pairs(settle(pairs, "pairs"), sets, self.percent).select("a", "b")
