@@ -145,6 +145,15 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_language_id, op9_packing, op10_license_scan, op11_periodic_runs, op12_jaccard_join, op13_collocations)
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_learned_partitions, op3_token_records, op4_url_filter, op5_decontamination, op6_minhash_near_dedup, op7_html_extraction,
+        op8_language_id, op9_packing, op10_license_scan, op11_periodic_runs, op12_jaccard_join, op13_collocations,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op6_minhash_near_dedup": f"SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM ({join_oracle(2, 80)})",
+    "op10_license_scan": license_oracle(),
+    "op12_jaccard_join": join_oracle(),
+    "op13_collocations": collocation_oracle(),
 }
-ORACLES: dict[str, str] = {"op10_license_scan": license_oracle(), "op12_jaccard_join": join_oracle(), "op13_collocations": collocation_oracle()}
