@@ -5,6 +5,11 @@ along principal directions, then moves and swaps that lower the number of cut ed
 that learns to tell the part of a vector. How many parts a query visits is measured on sampled rows that the partition and
 the network have not seen, as queries and as their neighbours alike: the fewest that hold ``recall + margin`` of the true neighbours.
 
+*Second level*: a part of more than ``split_rows`` entries is cut again in the same way, by a partition and a network of its own, fitted in
+a task on a bounded sample of the part that the first level has not drawn. The inner parts take the place of the large one. A query ranks the parts of
+both levels by the product of their probabilities, and its visits are measured on the same unseen rows, so that both levels are
+judged together.
+
 *Index*: every vector goes to its most probable part. Equal vectors are one entry with their smallest
 ids, so copies cost nothing. A part of more than ``block_rows`` entries is cut into blocks, and so are the queries that visit it.
 
@@ -19,18 +24,24 @@ searched whole. Columns beyond ``vec_id`` and ``embedding`` are ignored.
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minekit.functions.storage import settle
 from minekit.llm.batches import map_batches
 
 SALTS = 64
+DRAWS = 1 << 20
+ROUTED = 256  # rows whose probabilities of all parts are held at once
+LISTED = 1 << 20  # parts in one batch of routed rows
 
 
 @dataclass
@@ -48,16 +59,64 @@ class Router:
         x = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)).astype(np.float32)
         return np.maximum(x @ self.hidden + self.hidden_bias, 0) @ self.out + self.out_bias
 
+    @property
+    def n_parts(self) -> int:
+        return len(self.out_bias)
+
     def parts(self, x: np.ndarray, n: int) -> np.ndarray:
         """The ``n`` most probable parts of each row, best first."""
         return np.argsort(-self.logits(x), axis=1, kind="stable")[:, :n]
 
+    def filed(self, x: np.ndarray) -> np.ndarray:
+        """The part that holds each row."""
+        return self.parts(x, 1)[:, 0]
+
+
+class Nested:
+    """Two levels: ``outer``, and for some of its parts a router whose parts take the place of that part."""
+
+    def __init__(self, outer: Router, inner: dict[int, Router]):
+        self.outer, self.inner, self.visits, self.dimension = outer, inner, 1, outer.dimension
+        self.widths = np.array([inner[p].n_parts if p in inner else 1 for p in range(outer.n_parts)])
+        self.first = np.concatenate(([0], np.cumsum(self.widths)))
+
+    @property
+    def n_parts(self) -> int:
+        return int(self.first[-1])
+
+    def parts(self, x: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` parts of each row with the largest products of both probabilities, best first."""
+        out = np.empty((len(x), n), np.int64)
+        for low in range(0, len(x), ROUTED):
+            own = x[low : low + ROUTED]
+            score = np.repeat(_log_shares(self.outer.logits(own)), self.widths, axis=1)
+            for p, router in self.inner.items():
+                score[:, self.first[p] : self.first[p + 1]] += _log_shares(router.logits(own))
+            out[low : low + ROUTED] = np.argsort(-score, axis=1, kind="stable")[:, :n]
+        return out
+
+    def filed(self, x: np.ndarray) -> np.ndarray:
+        """The part that holds each row: the inner part within its most probable outer part."""
+        outer = self.outer.filed(x)
+        out = self.first[outer]
+        for p, router in self.inner.items():
+            own = np.flatnonzero(outer == p)
+            if len(own):
+                out[own] += router.filed(x[own])
+        return out
+
+
+def _log_shares(logits: np.ndarray) -> np.ndarray:
+    z = logits - logits.max(1, keepdims=True)
+    return z - np.log(np.exp(z).sum(1, keepdims=True))
+
 
 @dataclass(frozen=True)
 class LearnedPartitions:
     """``sample_rows`` bounds what the fit sees; ``per_part`` sample rows make a part, ``max_parts`` at most.
 
-    ``held_out`` is the share of the sample that only measures recall.
+    ``held_out`` is the share of the sample that only measures recall. Parts of more than ``split_rows`` entries get a second level of
+    ``max_parts`` parts at most, of ``block_rows`` entries or more on average, from ``sample_rows`` of their entries.
     """
 
     k: int = 20
@@ -70,6 +129,7 @@ class LearnedPartitions:
     held_out: float = 0.25
     block_rows: int = 20_000
     query_rows: int = 20_000
+    split_rows: int = 200_000
     hidden: int = 128
     epochs: int = 15
     seed: int = 5
@@ -96,11 +156,11 @@ class LearnedPartitions:
         listed = few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))  # k + 1 at most
         return listed.select(F.col("ids")[0].alias("entry"), "embedding", "ids")
 
-    def fit(self, entries: DataFrame) -> Router | None:
+    def fit(self, entries: DataFrame) -> Router | Nested | None:
         """Partition and router from a sample of stored entries; None when there are none."""
         n = entries.count()
-        share = min(1.0, self.sample_rows / n) if n else 0.0
-        sample = entries.where(F.pmod(F.xxhash64("embedding"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        cut = int(min(1.0, self.sample_rows / n) * DRAWS) if n else 0
+        sample = entries.where(_draw() < cut)
         rows = [r[1] for r in sorted(sample.select("entry", "embedding").collect())]  # about ``sample_rows``
         if not rows:
             return None
@@ -112,14 +172,48 @@ class LearnedPartitions:
             unseen[:] = False  # too few to be told apart: one part
         seen = x[~unseen]
         n_parts = int(np.clip(len(seen) // self.per_part, 1, self.max_parts)) if unseen.any() else 1
-        graph, _ = self._graph(seen, 0)
-        part = balanced_parts(seen, graph, n_parts)
-        router = self._train(seen, part, graph, n_parts)
-        # as many neighbours as fall into the share of the rows that is measured
-        k = max(1, round(self.k * unseen.mean()))
-        router.visits = n_parts if n_parts == 1 else self._visits(router, x[unseen], self._graph(x[unseen], k)[1], n_parts)
+        router = self._router(seen, n_parts)
+        if unseen.any() and n > self.split_rows:
+            router = self._nested(entries, router, cut)
+        if router.n_parts > 1:
+            # as many neighbours as fall into the share of the rows that is measured
+            k = max(1, round(self.k * unseen.mean()))
+            router.visits = self._visits(router, x[unseen], self._graph(x[unseen], k)[1])
         return router
 
+    def _router(self, x: np.ndarray, n_parts: int) -> Router:
+        graph, _ = self._graph(x, 0)
+        return self._train(x, balanced_parts(x, graph, n_parts), graph, n_parts)
+
+    def _nested(self, entries: DataFrame, router: Router, cut: int) -> Router | Nested:
+        """``router`` with a second level for its large parts; each is fitted in one task on entries from draw ``cut`` on."""
+        spark = entries.sparkSession
+        fitting = entries.where(F.size("embedding") == router.dimension)
+        shared = spark.sparkContext.broadcast(router)
+        shape = "entry bigint, embedding array<double>, ids array<bigint>, parts array<int>"
+
+        def placed(rows: DataFrame) -> DataFrame:
+            return map_batches(rows, _filing(shared), shape).select("entry", "embedding", F.col("parts")[0].alias("part"))
+
+        sizes = placed(fitting).groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.split_rows).collect()
+        # the draws behind the first sample; ``max_parts`` rows at most
+        ends = [(r.part, r.n, cut + int(min(1.0, self.sample_rows / r.n) * (DRAWS - cut))) for r in sizes]
+        if not ends:
+            return router
+        drawn = placed(fitting.where((_draw() >= cut) & (_draw() < max(e for _, _, e in ends))))
+        large = F.broadcast(spark.createDataFrame(ends, "part int, n bigint, end int"))
+        drawn = drawn.join(large, "part").where(_draw() < F.col("end")).select("part", "n", "entry", "embedding")
+
+        def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            x = np.stack(rows.sort_values("entry")["embedding"].to_numpy())
+            n_parts = min(len(x) // self.per_part, -(-int(rows["n"].iloc[0]) // self.block_rows), self.max_parts)
+            models = [pickle.dumps(self._router(x, n_parts))] if n_parts > 1 else []
+            return pd.DataFrame({"part": [key[0]] * len(models), "model": models})
+
+        models = drawn.groupBy("part").applyInPandas(fit, "part int, model binary").collect()  # a network per large part
+        inner = {r.part: pickle.loads(r.model) for r in sorted(models)}
+        return Nested(router, inner) if inner else router
+
     def _graph(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Nearest neighbours among the rows: a few for the graph, ``k`` to measure recall."""
         degree, k = min(self.graph_degree, len(x) - 1), min(k, len(x) - 1)
@@ -166,15 +260,20 @@ class LearnedPartitions:
                     weights[i] -= np.float32(0.003 * scale) * first[i] / (np.sqrt(second[i]) + np.float32(1e-8))
         return Router(*weights, visits=1, dimension=x.shape[1])
 
-    def _visits(self, router: Router, x: np.ndarray, near: np.ndarray, n_parts: int) -> int:
+    def _visits(self, router: Router | Nested, x: np.ndarray, near: np.ndarray) -> int:
         """The fewest visited parts that hold ``recall + margin`` of the neighbours of the rows ``x``."""
+        n_parts = router.n_parts
         if near.shape[1] == 0:
             return n_parts
-        order = router.parts(x, n_parts)
-        place = np.empty_like(order)
-        np.put_along_axis(place, order, np.broadcast_to(np.arange(n_parts), order.shape), 1)
-        reached = np.take_along_axis(place, order[:, 0][near], 1)
-        share = np.cumsum(np.bincount(reached.ravel(), minlength=n_parts)) / reached.size
+        home = router.filed(x)
+        counts = np.zeros(n_parts, np.int64)
+        for low in range(0, len(x), ROUTED):
+            order = router.parts(x[low : low + ROUTED], n_parts)
+            place = np.empty_like(order)
+            np.put_along_axis(place, order, np.broadcast_to(np.arange(n_parts), order.shape), 1)
+            reached = np.take_along_axis(place, home[near[low : low + ROUTED]], 1)
+            counts += np.bincount(reached.ravel(), minlength=n_parts)
+        share = np.cumsum(counts) / near.size
         return min(n_parts, int(np.searchsorted(share, min(self.recall + self.margin, 1.0)) + 1))
 
     def search(self, vectors: DataFrame, is_query) -> DataFrame:
@@ -187,18 +286,9 @@ class LearnedPartitions:
             return spark.createDataFrame([], schema)
         shared = spark.sparkContext.broadcast(router)
 
-        def route(n: int):
-            def run(batches):
-                for batch in batches:
-                    column = batch.column("embedding")
-                    flat = column.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
-                    yield {**{c: batch.column(c) for c in batch.schema.names}, "parts": list(shared.value.parts(flat, n))}
-
-            return run
-
         fitting = entries.where(F.size("embedding") == router.dimension)
         shape = "entry bigint, embedding array<double>, ids array<bigint>, parts array<int>"
-        filed = settle(map_batches(fitting, route(1), shape), "filed").withColumn("part", F.col("parts")[0])
+        filed = settle(map_batches(fitting, _filing(shared), shape), "filed").withColumn("part", F.col("parts")[0])
         blocks = filed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / self.block_rows).cast("int").alias("n"))
         blocks = F.broadcast(blocks)  # a row per part
         index = filed.join(blocks, "part").select(
@@ -210,10 +300,10 @@ class LearnedPartitions:
             asked.join(filed.select("embedding", "entry"), "embedding").select("vec_id", "entry").distinct(), "asked"
         )
         wanted = fitting.join(asked.select("entry").distinct(), "entry", "left_semi")
-        n_parts = len(router.out_bias)
+        n_parts = router.n_parts
 
         def nearest(queries: DataFrame, visits: int) -> DataFrame:
-            sent = map_batches(queries, route(visits), shape).select("entry", "embedding", F.explode("parts").alias("part"))
+            sent = map_batches(queries, _visiting(shared, visits), shape).select("entry", "embedding", F.explode("parts").alias("part"))
             sent = settle(sent, "sent")
             asking = sent.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / self.query_rows).cast("int").alias("m"))
             asking = F.broadcast(asking)  # a row per part
@@ -271,6 +361,39 @@ class LearnedPartitions:
         return measure
 
 
+def _draw() -> Column:
+    """A number below ``DRAWS`` from the vector of an entry."""
+    return F.pmod(F.xxhash64("embedding"), F.lit(DRAWS))
+
+
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+
+
+def _filing(shared: Broadcast):
+    """Adds to each entry the part that holds it, as the only one of ``parts``."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            if len(batch):
+                yield {**{c: batch.column(c) for c in batch.schema.names}, "parts": list(shared.value.filed(_vectors(batch))[:, None])}
+
+    return run
+
+
+def _visiting(shared: Broadcast, n: int):
+    """Adds to each entry the ``n`` parts that it visits."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        step = max(1, LISTED // n)
+        for batch in batches:
+            for low in range(0, len(batch), step):
+                own = batch.slice(low, step)
+                yield {**{c: own.column(c) for c in own.schema.names}, "parts": list(shared.value.parts(_vectors(own), n))}
+
+    return run
+
+
 def balanced_parts(x: np.ndarray, graph: np.ndarray, n_parts: int) -> np.ndarray:
     """A part for each row: sizes differ by a few percent at most, and few edges of ``graph`` are cut."""
     n = len(x)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from minekit.llm.neighbours import LearnedPartitions, balanced_parts
+from minekit.llm.neighbours import LearnedPartitions, Nested, Router, balanced_parts
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, entry bigint, part int"
 
@@ -68,6 +68,44 @@ def test_queries_that_find_too_few_visit_all_parts(spark, monkeypatch):
     assert {len(x) for x in got.values()} == {40}
 
 
+def clustered(n):
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(60, 16))
+    return [(i, (centres[i % 60] + 0.3 * draw.normal(size=16)).tolist()) for i in range(n)]
+
+
+def test_large_parts_get_a_second_level(spark):
+    """9,000 vectors, parts of about 900: recall holds, and a query meets a fraction of what whole parts hold."""
+    rows = clustered(9000)
+    operator = LearnedPartitions(k=10, sample_rows=1500, per_part=100, split_rows=300, block_rows=100, recall=0.95)
+    df = vectors(spark, rows)
+    router = operator.fit(operator.entries(df).cache())
+    assert isinstance(router, Nested) and router.n_parts > 3 * router.outer.n_parts and router.visits < router.n_parts
+    x = np.array([np.array(v, np.float32) for _, v in rows], float)
+    home = router.filed(x)
+    flat = router.outer.filed(x)
+    assert (np.searchsorted(router.first, home, "right") - 1 == flat).all()
+    sizes, outer_sizes = np.bincount(home, minlength=router.n_parts), np.bincount(flat)
+    asked = x[::20]
+    met = sizes[router.parts(asked, router.visits)].sum(1).mean()
+    router.outer.visits = operator._visits(router.outer, asked, operator._graph(asked, 2)[1])
+    assert met < outer_sizes[router.outer.parts(asked, router.outer.visits)].sum(1).mean()
+    got = found(operator.search(df, F.col("vec_id") % 20 == 0))
+    assert recall(got, brute(rows, 10)) >= 0.95
+    assert {len(v) for v in got.values()} == {10}
+
+
+def test_parts_of_two_levels_are_ranked_by_both_probabilities():
+    draw = np.random.default_rng(6)
+    router = lambda n: Router(draw.normal(size=(4, 8)), draw.normal(size=8), draw.normal(size=(8, n)), draw.normal(size=n), 1, 4)
+    nested = Nested(router(3), {0: router(2), 2: router(4)})
+    x = draw.normal(size=(600, 4))
+    share = lambda r: np.exp(r.logits(x)) / np.exp(r.logits(x)).sum(1, keepdims=True)
+    outer, low, high = share(nested.outer), share(nested.inner[0]), share(nested.inner[2])
+    want = np.concatenate((outer[:, :1] * low, outer[:, 1:2], outer[:, 2:] * high), axis=1)
+    assert nested.n_parts == 7 and (nested.parts(x, 7) == np.argsort(-want, axis=1)).all()
+
+
 def test_copies_and_ties_go_to_the_smaller_id(spark):
     draw = np.random.default_rng(2)
     same = draw.normal(size=8).tolist()
