@@ -269,9 +269,7 @@ def dense_words(frequent: DataFrame) -> DataFrame:
 def _key_bits(k: int, word_bits: int) -> int:
     """Bits of a key; above 64 at least 32 in the upper lane, for the shards."""
     bits = k * word_bits
-    if bits > 128:
-        raise ValueError("phrases of so many words need wider keys")
-    return bits if bits <= 64 else max(96, bits)
+    return bits if bits <= 64 else max(64 * (bits - 1 >> 6) + 32, bits)
 
 
 class _Grams:
@@ -296,8 +294,8 @@ class _Grams:
         lanes = [np.zeros(len(at), np.uint64) for _ in range(self.permutation.lanes)]
         bits = np.uint64(self.word_bits)
         for i in range(self.k):
-            if len(lanes) == 2:
-                lanes[0] = (lanes[0] << bits) | (lanes[1] >> (np.uint64(64) - bits))
+            for j in range(len(lanes) - 1):
+                lanes[j] = (lanes[j] << bits) | (lanes[j + 1] >> (np.uint64(64) - bits))
             lanes[-1] = (lanes[-1] << bits) | numbers[at + i].astype(np.uint64)
         return lanes
 
@@ -307,9 +305,9 @@ class _Grams:
         for i in range(self.k - 1, -1, -1):
             out[:, i] = (lanes[-1] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int32)
             lanes[-1] = lanes[-1] >> bits
-            if len(lanes) == 2:
-                lanes[1] = lanes[1] | (lanes[0] << (np.uint64(64) - bits))
-                lanes[0] = lanes[0] >> bits
+            for j in range(len(lanes) - 1, 0, -1):
+                lanes[j] = lanes[j] | (lanes[j - 1] << (np.uint64(64) - bits))
+                lanes[j - 1] = lanes[j - 1] >> bits
         return out
 
 

@@ -81,7 +81,7 @@ def test_other_settings_and_the_join_instead_of_the_broadcast(spark, monkeypatch
     assert got == brute(rows, 9, 7, longest=4, percent=80)
 
 
-@pytest.mark.parametrize("bits", [1, 2, 7, 16, 34, 51, 63, 64, 96, 100, 128])
+@pytest.mark.parametrize("bits", [1, 2, 7, 16, 34, 51, 63, 64, 96, 100, 128, 160, 170, 192])
 def test_filters_give_all_keys_and_counts_back(bits):
     draw = np.random.default_rng(bits)
 
@@ -89,11 +89,12 @@ def test_filters_give_all_keys_and_counts_back(bits):
         top = draw.integers(0, 1 << min(width, 32), 2000, dtype=np.uint64)
         return top if width <= 32 else (top << np.uint64(width - 32)) | draw.integers(0, 1 << (width - 32), 2000, dtype=np.uint64)
 
-    keys = [numbers(bits)] if bits <= 64 else [numbers(bits - 64), numbers(64)]
     permutation = Permutation(bits)
+    widths = [permutation.upper_bits] + [64] * (permutation.lanes - 1)
+    keys = [numbers(w) for w in widths]
     permuted = permutation.forward(keys)
     assert all((x == y).all() for x, y in zip(keys, permutation.backward(permuted)))
-    assert all((x <= mask(w)).all() for x, w in zip(permuted, [bits] if bits <= 64 else [bits - 64, 64]))
+    assert all((x <= mask(w)).all() for x, w in zip(permuted, widths))
     for shard_bits in {0, min(bits, 1), min(bits, 5)}:
         lanes, counts = summed(permuted, draw.integers(1, 300_000, 2000))
         shards = permutation.leading(lanes, shard_bits)
@@ -104,12 +105,21 @@ def test_filters_give_all_keys_and_counts_back(bits):
             assert (n == counts[own]).all() and all((x == y[own]).all() for x, y in zip(back, lanes))
 
 
-def test_wide_keys_pack_and_unpack():
-    grams = collocations._Grams(5, 24)
-    numbers = np.random.default_rng(0).integers(1, 1 << 24, 500).astype(np.int32)
+@pytest.mark.parametrize("words, bits, lanes", [(5, 24, 2), (5, 31, 3), (7, 31, 4)])
+def test_wide_keys_pack_and_unpack(words, bits, lanes):
+    grams = collocations._Grams(words, bits)
+    numbers = np.random.default_rng(0).integers(1, 1 << bits, 500).astype(np.int32)
     keys = grams.keys(numbers, None, None)
-    assert len(keys) == 2
-    assert (grams.numbers(keys) == np.lib.stride_tricks.sliding_window_view(numbers, 5)).all()
+    assert len(keys) == lanes
+    assert (grams.numbers(keys) == np.lib.stride_tricks.sliding_window_view(numbers, words)).all()
+
+
+def test_more_numbered_words_than_two_lanes_hold(spark, monkeypatch):
+    """Keys as wide as those of a billion words give the same phrases."""
+    rows = texts(3)
+    frequent = Collocations.frequent
+    monkeypatch.setattr(Collocations, "frequent", lambda self, lists, k, bits, *rest: frequent(self, lists, k, 30, *rest))
+    assert found(spark, Collocations(min_count=12), rows) == brute(rows, 12, 2000)
 
 
 def test_awkward_rows(spark):
