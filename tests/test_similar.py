@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from minekit.functions.storage import settle
 from minekit.operators.minhash import MinHash, lsh_buckets, lsh_rows, minhash_signatures
-from minekit.operators.pairs import group_members, similarity_bound, smallest_pairs, strongest_pairs, top_pairs
-from minekit.operators.text import doc_shingles, doc_tokens
+from minekit.operators.pairs import bucket_places, group_members, met_groups, similarity_bound, smallest_pairs, strongest_pairs, top_pairs
+from minekit.operators.text import doc_shingles, doc_tokens, shingle_id_lists, shingle_ids
 from minekit.plans.similar import SimilarDocuments
 
 SEARCH = SimilarDocuments(block_cost=200)
@@ -159,3 +159,53 @@ def test_buckets_count_members(docs):
     assert all(r.n_docs > 1 for r in buckets)
     assert max(r.n_docs for r in buckets) >= 31
     assert rows.groupBy("band").agg(F.count("*").alias("n")).where("n != 43").isEmpty()
+
+
+@pytest.mark.parametrize("block_cost", [4, 200, 1 << 22])
+def test_pairs_are_counted_where_they_meet(spark, block_cost):
+    draw = random.Random(7)
+    common = [draw.randrange(1000) for _ in range(100)]
+    # most share many buckets with all others
+    sig = {d: [v if draw.random() < 0.6 else draw.randrange(1000) for v in common] for d in range(90)}
+    sig[90] = [5000 + i for i in range(100)]
+    groups = settle(spark.createDataFrame([(d, s, d % 3 + 1) for d, s in sig.items()], "doc_id bigint, sig array<bigint>, n_docs bigint"), "groups")
+    wanted = {}
+    for a, b in itertools.combinations(sig, 2):
+        shared = sum(sig[a][i : i + 2] == sig[b][i : i + 2] for i in range(0, 100, 2))
+        equal = sum(p == q for p, q in zip(sig[a], sig[b]))
+        wanted[a, b] = (shared, equal / 100, (a % 3 + 1) * (b % 3 + 1))
+    places = bucket_places(groups, 50, 2, block_cost)
+    for least in (1, 5, 12, 50):
+        met = met_groups(groups, 50, 2, block_cost, least, places)
+        got = [tuple(r) for r in met.select("a", "b", "shared_bands", "similarity", "n_pairs").collect()]
+        assert sorted(got) == sorted((*p, *v) for p, v in wanted.items() if v[0] >= least)
+    plan = met_groups(groups, 50, 2, block_cost, 1, places)._jdf.queryExecution().executedPlan().toString()
+    # no aggregate of pairs follows the measuring
+    assert "HashAggregate" not in plan.split("MapInArrow")[0]
+
+
+def test_groups_of_one_name_are_summed_up(spark):
+    sig = [list(range(100)), [*range(50), *range(200, 250)], list(range(300, 400)), [*range(300, 320), *range(20, 50), *range(200, 250)]]
+    groups = settle(spark.createDataFrame(list(zip([1, 2, 2, 3], sig, [1] * 4)), "doc_id bigint, sig array<bigint>, n_docs bigint"), "groups")
+    assert {tuple(r) for r in SEARCH.candidates(groups).collect()} == {(1, 2, 25), (1, 3, 15), (2, 3, 50)}
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_ids_of_runs_are_leading_bits_of_their_md5(spark, distinct):
+    rows = [(1, "a b a b a b"), (2, "a b"), (3, None), (4, ""), (5, "\u00e9 x\u0130 y  z - t\tu"), (None, "n u l l"), (6, "a b c")]
+    tokens = doc_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    listed = shingle_id_lists(tokens, 3, "md5", distinct)
+    assert listed.where("ids is null").count() == 3
+    found = listed.select("doc_id", F.explode("ids"))
+    wanted = shingle_ids(doc_shingles(tokens, 3), "md5")
+    assert found.count() == wanted.count() + (0 if distinct else 2)
+    assert (found if distinct else found.distinct()).exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+
+
+def test_minima_of_long_documents_pass_through_pieces(spark):
+    family = MinHash(5)
+    ids = spark.range(40_000).select((F.col("id") % 3).alias("doc_id"), F.xxhash64("id").alias("shingle_id")).repartition(4).sortWithinPartitions("doc_id")
+    got = {r.doc_id: r.sig for r in minhash_signatures(ids, family).collect()}
+    rows = [(r.doc_id, r.shingle_id % family.prime) for r in ids.collect()]
+    for doc in range(3):
+        assert got[doc] == [min((x * a + b) % family.prime for d, x in rows if d == doc) for a, b in family.parameters()]
