@@ -32,7 +32,7 @@ class PageRank:
     ) -> DataFrame:
         """``node, rank`` after ``steps`` steps from ``ranks`` (or from equal ranks).
 
-        The links are shuffled to their place once and kept there for all steps; a step moves only
+        The links are shuffled to their place and sorted once and kept so for all steps; a step moves only
         rank-sized tables and the partial sums of the contributions. Each step's ranks are stored.
         A step's ranks are removed once the next are stored; ``on_step`` is called with the step number
         and its ranks, for logging or saving, and has to use them before it returns.
@@ -42,7 +42,8 @@ class PageRank:
         folded = settle(link_table(edges), "links")
         links, sources = blocked_links(folded, folded.count(), self.block_rows)
         partitions = partitions_for(folded, LINK_BYTES)
-        links = links.repartition(partitions, "src", "block").persist(StorageLevel.MEMORY_AND_DISK)
+        # sorted before they are kept, so that no step sorts them again
+        links = links.repartition(partitions, "src", "block").sortWithinPartitions("src", "block").persist(StorageLevel.MEMORY_AND_DISK)
         state = stored(start_state(nodes, sources, n_nodes, ranks), "ranks")
         try:
             for step in range(1, steps + 1):
