@@ -71,3 +71,13 @@ def test_ranks_as_tuples_and_as_table(spark, tmp_path):
         assert sorted(map(tuple, back.collect())) == [(3, 0.1), (4, 1.25e-07)]
     lines = [r[0] for r in ranks.orderBy("node").select(writers.rank_line()).collect()]
     assert lines == ["3\t0.100000000", "4\t0.000000125"]
+
+
+def test_files_of_a_corpus_are_read_once(spark, tmp_path):
+    from minekit.checks.queries import QUERIES
+
+    rows = [(1, "a b"), (2, "c")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["corpus_documents"](spark, str(tmp_path))
+    assert sorted((r.doc_id, r.n_tokens) for r in found.collect()) == [(1, 2), (2, 1)]
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan text") == 1
