@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +28,8 @@ from minekit.functions.skew import balanced_join
 
 PACKED_NUMBERS = 1 << 20
 WIDE_DIMENSION = 256
-# numbers of points that are measured at once (8 MB), and that make a block when there are several packs
-BATCH_NUMBERS = 1 << 20
+# numbers of points that are measured at once (1 MB, which stays in the cache), and that make a block when there are several packs
+BATCH_NUMBERS = 1 << 17
 BLOCK_NUMBERS = 1 << 22
 
 
@@ -110,14 +109,13 @@ class _Nearest:
                 nearer = (far < best[rows]) | ((far == best[rows]) & (far < np.inf) & (cids[i] < at[rows]))
                 best[rows[nearer]], at[rows[nearer]] = far[nearer], cids[i]
 
-    def frame(self) -> pd.DataFrame:
+    def table(self) -> pa.Table:
         out = {}
         for cost, cid in (("l1", "cid_l1"), ("l2sq", "cid_l2")):
-            found = self.best[cost] < np.inf
-            out[cid] = pd.array(self.cid[cost], dtype="Int64")
-            out[cid][~found] = pd.NA
-            out[cost] = np.where(found, self.best[cost], np.nan)
-        return pd.DataFrame(out)[["cid_l1", "l1", "cid_l2", "l2sq"]]
+            lost = ~(self.best[cost] < np.inf)
+            out[cid] = pa.array(self.cid[cost], mask=lost)
+            out[cost] = pa.array(self.best[cost], mask=lost)
+        return pa.table(out)
 
 
 NEAR = "cid_l1 bigint, l1 double, cid_l2 bigint, l2sq double"
@@ -126,15 +124,16 @@ NEAR = "cid_l1 bigint, l1 double, cid_l2 bigint, l2sq double"
 def _nearest_of(cids: np.ndarray, table: np.ndarray) -> Callable[[str], Column]:
     """The nearest of one pack of centroids, over batches of vectors."""
 
-    @F.pandas_udf(NEAR)
-    def nearest(v: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(NEAR)
+    def nearest(v: pa.Array) -> pa.Array:
         rows = max(1, BATCH_NUMBERS // max(1, table.shape[1]))
         parts = []
         for i in range(0, len(v), rows):
-            found = _Nearest(np.stack(v.to_numpy()[i : i + rows]))
+            found = _Nearest(_stacked(v.slice(i, rows)))
             found.meet(cids, table)
-            parts.append(found.frame())
-        return pd.concat(parts, ignore_index=True)
+            parts.append(found.table())
+        near = pa.concat_tables(parts).combine_chunks()
+        return pa.StructArray.from_arrays([c.combine_chunks() for c in near.columns], names=near.column_names)
 
     return nearest
 
@@ -159,8 +158,7 @@ def assigned_to(points: DataFrame, centroids: list[tuple[int, list[float]]]) ->
         raise ValueError("there are no centroids")
     kept = sorted(centroids)
     nearest = _nearest_of(np.array([cid for cid, _ in kept]), np.array([v for _, v in kept]))
-    near = points.select("id", "v", nearest("v").alias("near")).select("id", "v", "near.*")
-    return near.select("id", "v", *[_undefined(c).alias(c) for c in ("cid_l1", "l1", "cid_l2", "l2sq")])
+    return points.select("id", "v", nearest("v").alias("near")).select("id", "v", "near.*")
 
 
 def _streamed(points: DataFrame, centroids: DataFrame, n_packs: int) -> DataFrame:
@@ -185,8 +183,8 @@ def _streamed(points: DataFrame, centroids: DataFrame, n_packs: int) -> DataFram
         def result() -> Iterator[pa.RecordBatch]:
             if held:
                 rows = pa.Table.from_batches(held)
-                near = (found or _Nearest(_stacked(rows.column("v").combine_chunks()))).frame()
-                columns = {"id": rows.column("id"), "v": rows.column("v")} | {c: pa.array(near[c], from_pandas=True) for c in near}
+                near = (found or _Nearest(_stacked(rows.column("v").combine_chunks()))).table()
+                columns = {"id": rows.column("id"), "v": rows.column("v")} | {c: near.column(c) for c in near.column_names}
                 yield from pa.table(columns).cast(schema).to_batches()
 
         for batch in batches:
@@ -215,16 +213,11 @@ def _streamed(points: DataFrame, centroids: DataFrame, n_packs: int) -> DataFram
 def _stacked(vectors: pa.Array) -> np.ndarray:
     """Vectors of one length as a matrix."""
     flat = vectors.flatten().fill_null(float("nan")).to_numpy(zero_copy_only=False)
-    if len(flat) % max(len(vectors), 1) or len(set(vectors.value_lengths().to_pylist())) > 1:
+    if vectors.null_count or len(flat) % max(len(vectors), 1) or len(set(vectors.value_lengths().to_pylist())) > 1:
         raise ValueError("vectors of different lengths")
     return flat.reshape(len(vectors), -1)
 
 
-def _undefined(column: str) -> Column:
-    """Null where the distance is undefined, which pandas shows as NaN."""
-    return F.when(F.col(column).cast("double").isNotNull() & ~F.isnan(F.col(column).cast("double")), F.col(column))
-
-
 def nearest_centroid(assigned: DataFrame, metric: str) -> DataFrame:
     """``id, cid, distance`` under one metric, ``"l1"`` or ``"l2"``."""
     distance = {"l1": "l1", "l2": "l2sq"}[metric]

@@ -6,9 +6,12 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from minekit.functions.storage import spread, stored
 from minekit.operators.cluster import PACKED_NUMBERS, assigned_to, assignments, centroid_update, packs_needed
@@ -62,8 +65,8 @@ class KMeans:
             history.append((iteration, len(clusters), *(math.fsum(r[c] for r in clusters) for c in ("cost_l1", "cost_l2sq"))))
         kinds = {f.name: f.dataType.simpleString() for f in start.schema}
         return KMeansFit(
-            spark.createDataFrame(sorted(centroids), f"cid {kinds['cid']}, v array<double>"),
-            spark.createDataFrame(history, HISTORY),
+            local_table(spark, sorted(centroids), f"cid {kinds['cid']}, v array<double>"),
+            local_table(spark, history, HISTORY),
         )
 
     def _stored(self, points: DataFrame, start: DataFrame) -> KMeansFit:
@@ -80,7 +83,15 @@ class KMeans:
             state.discard()
             state = after
             history.append((iteration, k, *costs))
-        return KMeansFit(state.table.select("cid", "v"), points.sparkSession.createDataFrame(history, HISTORY))
+        return KMeansFit(state.table.select("cid", "v"), local_table(points.sparkSession, history, HISTORY))
+
+
+def local_table(spark: SparkSession, rows: list[tuple], kinds: str) -> DataFrame:
+    """Rows at hand as a table. They go over as Arrow data, so reading them starts no Python workers beside those of the scan."""
+    schema = StructType.fromDDL(kinds)
+    fields = to_arrow_schema(schema)
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields), schema)
 
 
 def cost_changes(history: DataFrame, run: str = "run") -> DataFrame:

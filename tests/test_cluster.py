@@ -136,3 +136,33 @@ def test_l2_cost_never_rises(cloud):
     changes = [r.change_l2sq for r in cost_changes(history).orderBy("iteration").collect()]
     assert changes[0] is None
     assert all(c <= 1e-12 for c in changes[1:])
+
+
+def test_python_holds_a_bounded_piece_of_a_batch(spark, monkeypatch):
+    """Vectors stay in Arrow until they are measured, in pieces of bounded size."""
+    import pandas as pd
+    import pyarrow as pa
+
+    from minekit.operators import cluster
+
+    sizes = []
+    plain = cluster._Nearest
+
+    def watched(batch):
+        sizes.append(batch.size)
+        return plain(batch)
+
+    monkeypatch.setattr(cluster, "_Nearest", watched)
+    vectors = np.random.default_rng(1).normal(size=(10_000, 64))
+    near = cluster._nearest_of(np.arange(3), vectors[:3]).func(pa.array(vectors.tolist()))
+    assert len(near) == 10_000 and max(sizes) <= 1 << 17
+    far = np.abs(vectors[:, None] - vectors[:3]).sum(2)
+    assert near.field("cid_l1").to_pylist() == far.argmin(1).tolist()
+    assert not isinstance(near, pd.DataFrame)
+
+
+def test_results_at_hand_start_no_python(cloud):
+    fit = KMeans("l2", 2).fit(*cloud)
+    for table in (fit.history, fit.centroids):
+        assert "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+    assert KMeans("l2", 0).fit(*cloud).history.count() == 0
