@@ -209,3 +209,29 @@ def test_minima_of_long_documents_pass_through_pieces(spark):
     rows = [(r.doc_id, r.shingle_id % family.prime) for r in ids.collect()]
     for doc in range(3):
         assert got[doc] == [min((x * a + b) % family.prime for d, x in rows if d == doc) for a, b in family.parameters()]
+
+
+def test_a_task_counts_the_buckets_of_a_bounded_part(spark, monkeypatch):
+    """Partitions of the count follow the size of the stored groups, not the number of files or cores."""
+    from minekit.operators import pairs
+
+    monkeypatch.setattr(pairs, "COUNTED_BYTES", 1 << 10, raising=False)
+    asked = []
+    plain = pairs.lsh_buckets
+
+    def watched(rows):
+        asked.append(rows.rdd.getNumPartitions())
+        return plain(rows)
+
+    monkeypatch.setattr(pairs, "lsh_buckets", watched)
+    draw = random.Random(9)
+    sig = [(d, [draw.randrange(50) for _ in range(100)], 1) for d in range(200)]
+    groups = settle(spark.createDataFrame(sig, "doc_id bigint, sig array<bigint>, n_docs bigint").coalesce(1), "groups")
+    places = bucket_places(groups, 50, 2)
+    assert asked[0] > spark.sparkContext.defaultParallelism
+    held = {}
+    for d, s, _ in sig:
+        for b in range(50):
+            held.setdefault((b, *s[2 * b : 2 * b + 2]), []).append(d)
+    wanted = sorted((d, k[0] + 1, len(ds)) for k, ds in held.items() if len(ds) > 1 for d in ds)
+    assert sorted((r.doc_id, r.band, r.n_docs) for r in places.collect()) == wanted
