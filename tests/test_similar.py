@@ -235,3 +235,30 @@ def test_a_task_counts_the_buckets_of_a_bounded_part(spark, monkeypatch):
             held.setdefault((b, *s[2 * b : 2 * b + 2]), []).append(d)
     wanted = sorted((d, k[0] + 1, len(ds)) for k, ds in held.items() if len(ds) > 1 for d in ds)
     assert sorted((r.doc_id, r.band, r.n_docs) for r in places.collect()) == wanted
+
+
+def test_places_of_two_are_listed_once_for_each_size(spark):
+    """Small cells, which are nearly all, take their pairs from a list made once; they meet as brute force has it."""
+    import pyarrow as pa
+
+    from minekit.operators import pairs
+
+    draw = np.random.default_rng(2)
+    sizes = [2, 3, 5, 64, 65, 2, 3]
+    n = sum(sizes)
+    cell = np.repeat(np.arange(len(sizes)), sizes)
+    sig = draw.integers(0, 3, (n, 6)).astype(np.int32)
+    sig[:, :2] = cell[:, None]
+    zero = np.zeros(n, np.int32)
+    cells = pa.table({
+        "bucket_no": pa.array(cell), "_r": pa.array(zero), "_c": pa.array(zero), "_at": pa.array(zero), "band": pa.array(zero + 1),
+        "doc_id": pa.array(np.arange(n)), "_docs": pa.array(zero.astype(np.int64) + 1), "_sig": pa.array(list(sig), pa.list_(pa.int32())),
+    })
+    pairs.two_of.cache_clear()
+    got = [tuple(p) for b in pairs.compared(cells, 3, 2, 1) for p in zip(*(b.column(c).to_pylist() for c in ("_x", "_y", "shared_bands", "similarity")))]
+    wanted = [
+        (a, b, sum((sig[a][i : i + 2] == sig[b][i : i + 2]).all() for i in (0, 2, 4)), (sig[a] == sig[b]).mean())
+        for a, b in itertools.combinations(range(n), 2) if cell[a] == cell[b]
+    ]
+    assert sorted(got) == sorted(wanted)
+    assert pairs.two_of.cache_info().misses == 4
