@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minekit.functions.ranking import dense_index
-from minekit.functions.storage import settle
+from minekit.functions.storage import partitions_for, settle
+
+# bytes of documents that one task reads from their files
+CORPUS_BYTES = 4 << 20
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
@@ -57,12 +60,14 @@ def read_keyed_vectors(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, folders: bool = False) -> DataFrame:
     """One document per file as ``file, text``; the file name is the stable key. Spark gives no row for a file without any byte.
 
-    Files are packed into splits by their sizes, so many small files make few tasks.
+    With ``folders`` the files of all folders below ``path``, which Spark lists in a job when they are many. A split holds 32 small files at most,
+    as each counts as 4 MB, so splits are read one after the other by tasks whose number follows the bytes.
     """
-    return spark.read.text(path, wholetext=True).select(
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True if folders else None)
+    return files.coalesce(partitions_for(files, CORPUS_BYTES)).select(
         F.col("_metadata.file_name").alias("file"),
         F.regexp_replace("value", "\r\n?", "\n").alias("text"),
     )

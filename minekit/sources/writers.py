@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,11 +56,12 @@ def write_lines(df: DataFrame, line: Column, path: str) -> None:
     df.select(line.alias("value")).write.text(path)
 
 
-def write_corpus(docs: DataFrame, path: str) -> int:
+def write_corpus(docs: DataFrame, path: str, folders: int = 0) -> int:
     """Write each document (``name, text``) as a file of its own, ``<name>.txt``; the number of files.
 
     Names are unique and hold no slash. Tasks write under the folder ``path``, which all executors share, with the file system of its URI (local, or
-    what the Arrow file systems know). A file appears whole, under its own name, so a task that runs again replaces what it wrote before.
+    what the Arrow file systems know). A file appears whole, under its own name, so a task that runs again replaces what it wrote before. Many documents
+    are dealt by name over that many ``folders`` below it, so that no folder is held up by all tasks or listed alone.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,12 +69,17 @@ def write_corpus(docs: DataFrame, path: str) -> int:
 
         fs, root = FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
         fs.create_dir(root, recursive=True)
+        made = {root}
         for batch in batches:
             for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist()):
-                part = f"{root}/_{uuid.uuid4().hex}"
+                folder = f"{root}/{zlib.crc32(str(name).encode()) % folders:04d}" if folders else root
+                if folder not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
+                part = f"{folder}/_{uuid.uuid4().hex}"
                 with fs.open_output_stream(part) as out:
                     out.write((text or "").encode())
-                fs.move(part, f"{root}/{name}.txt")
+                fs.move(part, f"{folder}/{name}.txt")
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     counts = docs.select(F.col("name").cast("string").alias("name"), "text").mapInArrow(write, "n bigint")

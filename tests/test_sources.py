@@ -81,3 +81,17 @@ def test_files_of_a_corpus_are_read_once(spark, tmp_path):
     found = QUERIES["corpus_documents"](spark, str(tmp_path))
     assert sorted((r.doc_id, r.n_tokens) for r in found.collect()) == [(1, 2), (2, 1)]
     assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan text") == 1
+
+
+def test_many_files_lie_in_folders_and_make_few_tasks(spark, tmp_path):
+    docs = [(str(i), f"text {i}") for i in range(700)] + [(None, "no name")]
+    path = f"{tmp_path}/corpus"
+    df = spark.createDataFrame(docs, "name string, text string").repartition(2)
+    assert writers.write_corpus(df, path, 16) == 701
+    assert writers.write_corpus(df, path, 16) == 701
+    folders = list((tmp_path / "corpus").iterdir())
+    assert len(folders) == 16 and all(f.is_dir() for f in folders)
+    back = readers.read_corpus(spark, path, folders=True)
+    # 32 files make a split
+    assert back.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted((r.file, r.text) for r in back.collect()) == sorted((f"{name}.txt", text) for name, text in docs)
