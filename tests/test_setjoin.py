@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from minekit.operators.setjoin import counted_pairs, prefix_candidates, rare_prefixes, similar_sets
+from minekit.operators import setjoin
+from minekit.operators.setjoin import able_sets, counted_pairs, packed_prefixes, picked, prefix_candidates, rare_prefixes, similar_sets
 
 SCHEMA = "id bigint, items array<bigint>"
 
@@ -83,3 +84,37 @@ def test_pairs_inside_a_part_are_left_out(spark):
 
 def test_empty_table(spark):
     assert similar_sets(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("packed_items", [60])
+def test_packed_prefixes_are_the_rare_prefixes(spark, monkeypatch, packed_items):
+    monkeypatch.setattr(setjoin, "PACKED_ITEMS", packed_items)
+    df = frame(spark, mixed_sets(8)).repartition(3).cache()
+    wanted = rare_prefixes(df.withColumn("part", F.col("id")), 80)
+    got = packed_prefixes(df, 80).select(*wanted.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+@pytest.mark.parametrize("packed_items", [60])
+def test_only_sets_that_hold_items_of_others_are_moved(spark, monkeypatch, packed_items):
+    monkeypatch.setattr(setjoin, "PACKED_ITEMS", packed_items)
+    sets = mixed_sets(9) | {1000 + i: {100_000 + 50 * i + j for j in range(50)} | {1, 2} for i in range(200)}
+    df = frame(spark, sets).union(spark.createDataFrame([(5000, None)], SCHEMA)).repartition(3).cache()
+    able = able_sets(df, 80)
+    ids = {r.id for r in able.collect()}
+    assert ids >= {i for a, b, *_ in brute(sets, 80) for i in (a, b)} and not any(i >= 1000 for i in ids)
+    monkeypatch.setattr(setjoin, "BROADCAST_ROWS", 50)
+    assert sorted(r.id for r in picked(df, able.cache()).collect()) == sorted(ids)
+
+
+def test_sets_of_near_copies_travel_to_few_cells(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "CELL_SETS", 4)
+    sets = mixed_sets(10)
+    assert {tuple(r) for r in similar_sets(frame(spark, sets), 60).collect()} == brute(sets, 60)
+    kept = []
+    monkeypatch.setattr(setjoin, "CELL_SETS", 256)
+    monkeypatch.setattr(setjoin, "settle", lambda df, name: kept.append((name, df.cache())) or kept[-1][1])
+    # 40 copies with one item of their own: 780 pairs
+    copies = {i: set(range(100)) | {1000 + i} for i in range(40)}
+    assert similar_sets(frame(spark, copies), 80).count() == 780
+    assert dict(kept)["members"].count() == 40
