@@ -95,3 +95,23 @@ def test_many_files_lie_in_folders_and_make_few_tasks(spark, tmp_path):
     # 32 files make a split
     assert back.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
     assert sorted((r.file, r.text) for r in back.collect()) == sorted((f"{name}.txt", text) for name, text in docs)
+
+
+def test_the_driver_holds_no_list_of_the_files(spark, tmp_path):
+    docs = [(str(i), f"text {i}\r\nöl\r") for i in range(300)] + [("empty", "")]
+    path = f"{tmp_path}/corpus"
+    writers.write_corpus(spark.createDataFrame(docs, "name string, text string"), path, 7)
+    for hidden in ("0001/_part", "0001/.txt", "_temporary/8.txt"):
+        (tmp_path / "corpus" / hidden).parent.mkdir(exist_ok=True)
+        (tmp_path / "corpus" / hidden).write_text("not a document")
+    (tmp_path / "corpus/0002/deep\tand\nodd").mkdir()
+    (tmp_path / "corpus/0002/deep\tand\nodd/9\n.txt").write_bytes(b"more")
+    (tmp_path / "corpus/top.txt").write_bytes(b"top")
+    back = readers.read_corpus(spark, path, folders=True)
+    wanted = [(f"{name}.txt", text.replace("\r\n", "\n").replace("\r", "\n")) for name, text in docs if text]
+    assert sorted((r.file, r.text) for r in back.collect()) == sorted([*wanted, ("9\n.txt", "more"), ("top.txt", "top")])
+    # a list of the corpus files is read, not an index of them
+    assert not any(name.startswith(f"file://{path}") for name in back.inputFiles())
+    assert readers.read_corpus(spark, f"file://{path}", folders=True).count() == 302
+    (tmp_path / "none").mkdir()
+    assert readers.read_corpus(spark, f"{tmp_path}/none", folders=True).count() == 0
