@@ -113,7 +113,8 @@ def test_sets_of_near_copies_travel_to_few_cells(spark, monkeypatch):
     assert {tuple(r) for r in similar_sets(frame(spark, sets), 60).collect()} == brute(sets, 60)
     kept = []
     monkeypatch.setattr(setjoin, "CELL_SETS", 256)
-    monkeypatch.setattr(setjoin, "settle", lambda df, name: kept.append((name, df.cache())) or kept[-1][1])
+    settle = setjoin.settle
+    monkeypatch.setattr(setjoin, "settle", lambda df, name: kept.append((name, settle(df, name))) or kept[-1][1])
     # 40 copies with one item of their own: 780 pairs
     copies = {i: set(range(100)) | {1000 + i} for i in range(40)}
     assert similar_sets(frame(spark, copies), 80).count() == 780
